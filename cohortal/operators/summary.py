@@ -198,7 +198,13 @@ def wide_pivot(
 def pivot_categories(
     summary: DataFrame, cfg: CohortConfig, category: str, values: list[str]
 ) -> DataFrame:
-    """Category summary as one row per person."""
+    """Category summary as one row per person that has a declared category.
+
+    Dropping other categories first leaves no all-null row to drop afterwards: a
+    test over every pivoted column, seen through hundreds of renamed columns, is
+    more than the optimiser's constraint inference can take.
+    """
+    summary = summary.where(F.col(category).isin(values))
     aggregates = [
         F.sum(f"{category}_binary").alias("binary"),
         F.first(f"{category}_date_earliest").alias("earliest_date"),
@@ -214,7 +220,9 @@ def pivot_categories(
 def pivot_sites(
     summary: DataFrame, cfg: CohortConfig, site: str, values: list[str]
 ) -> DataFrame:
-    """Site summary as one row per person, the site at the end of each name."""
+    """Site summary as one row per person that has a declared site, the site at the
+    end of each name."""
+    summary = summary.where(F.col(site).isin(values))
     everyone = "all_cancer_diagnoses_after_cut_off"
     aggregates = {
         "cancer_earliest_date": F.first(f"{site}_date_earliest"),

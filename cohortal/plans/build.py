@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortal import fixed
 from cohortal.config import CohortConfig, ConditionRule
 from cohortal.operators.exclude import exclude, exclude_by_rules
-from cohortal.operators.joins import drop_all_null, lookup_join
+from cohortal.operators.joins import lookup_join
 from cohortal.operators.labels import label_spans
 from cohortal.operators.sites import site_tag
 from cohortal.operators.summary import (
@@ -110,15 +110,15 @@ def category_features(ready: Prepared, cfg: CohortConfig, categories: list[str])
     column = features.CATEGORY
     wanted = reference.where(F.col(column).isin(categories)).select("alt_code", column)
     spans = lookup_join(spans_on_side(ready.spans, cfg, "before"), wanted, "code", "alt_code")
-    summary = summarise_categories(spans.where(F.col(column).isNotNull()), cfg, column)
-    return drop_all_null(pivot_categories(summary, cfg, column, categories), [cfg.entity])
+    known = spans.where(F.col(column).isNotNull())
+    summary = summarise_categories(known, cfg, column)
+    return pivot_categories(summary, cfg, column, categories)
 
 
 def site_outcomes(ready: Prepared, cfg: CohortConfig) -> DataFrame:
     tagged = site_tag(spans_on_side(ready.spans, cfg, "after"), code="code", out=features.SITE)
     summary = summarise_sites(tagged, cfg, features.SITE)
-    wide = pivot_sites(summary, cfg, features.SITE, list(fixed.SITE_CODES))
-    return drop_all_null(wide, [cfg.entity])
+    return pivot_sites(summary, cfg, features.SITE, list(fixed.SITE_CODES))
 
 
 def wide_person(
@@ -178,6 +178,16 @@ def _model_person(ready: Prepared, cfg: CohortConfig, tie_break: list[str] | Non
     )
 
 
+def _stage_cohort(kept: DataFrame, cfg: CohortConfig, name: str) -> DataFrame:
+    """Stage the remaining people with the columns the modelling table starts from.
+
+    A lost executor then costs none of the wide joins again, and the label and
+    encoding expressions are planned over plain columns, not over the joins.
+    """
+    needed = [*fixed.model_columns(cfg, death_label=False), *fixed.CAUSE_COLUMNS]
+    return stage(kept.select(*needed), name)
+
+
 def cancer_table(
     ready: Prepared, cfg: CohortConfig, *, tie_break: list[str] | None = None
 ) -> DataFrame:
@@ -189,8 +199,9 @@ def cancer_table(
     wide = _model_person(ready, cfg, tie_break)
     prior = F.col("cancer_before_cut_off_binary") == 1
     rules = [*cohort.cancer_rules(wide, cfg), (fixed.PRIOR_CANCER, prior)]
-    kept = cohort.cancer_cohort_labels(exclude_by_rules(wide, rules), cfg)
-    return cohort.cancer_model_table(kept, site_outcomes(ready, cfg), cfg)
+    kept = _stage_cohort(exclude_by_rules(wide, rules), cfg, "cancer_cohort")
+    labelled = cohort.cancer_cohort_labels(kept, cfg)
+    return cohort.cancer_model_table(labelled, site_outcomes(ready, cfg), cfg)
 
 
 def stroke_table(
@@ -200,4 +211,5 @@ def stroke_table(
     wide = _model_person(ready, cfg, tie_break)
     kept = exclude_by_rules(wide, cohort.stroke_rules(wide, cfg))
     kept = exclude(kept, prior_condition(ready, cfg, fixed.STROKE), cfg.entity)
+    kept = _stage_cohort(kept, cfg, "stroke_cohort")
     return cohort.stroke_model_table(kept, condition_outcome(ready, cfg, fixed.STROKE), cfg)

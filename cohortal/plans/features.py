@@ -10,7 +10,7 @@ from cohortal.fixed import CAUSE_COLUMNS, GEOGRAPHY_COLUMNS, SITE_CODES, SNAPSHO
 from cohortal.functions.text import keep_alphanumeric, like_any, underscore_label
 from cohortal.functions.weeks import Timeline
 from cohortal.operators.encode import clean_one_hot
-from cohortal.operators.joins import assert_unique, drop_all_null, lookup_join
+from cohortal.operators.joins import assert_unique, lookup_join
 from cohortal.operators.labels import outcome_labels
 from cohortal.operators.longlist import latest_row
 from cohortal.operators.lookback import lookback_counts, lookback_with_labels
@@ -141,8 +141,7 @@ def category_features(events: DataFrame, cfg: CohortConfig, categories: list[str
     """First diagnosis and recency of every declared category, one row per person."""
     declared = F.col(CATEGORY).isin(categories)
     past = events.where(Timeline(events, cfg, "date").before() & declared)
-    wide = pivot_categories(category_summary(past, cfg, CATEGORY), cfg, CATEGORY, categories)
-    return drop_all_null(wide, [cfg.entity])
+    return pivot_categories(category_summary(past, cfg, CATEGORY), cfg, CATEGORY, categories)
 
 
 def prior_condition(
@@ -174,8 +173,7 @@ def site_outcomes(
     """Outcomes per disease site, one row per person."""
     later = events.where(Timeline(events, cfg, "date").after())
     tagged = site_tag(later.select(cfg.entity, "date", "diagnosis"), out=SITE)
-    wide = pivot_sites(site_summary(tagged, cfg, SITE), cfg, SITE, sites or list(SITE_CODES))
-    return drop_all_null(wide, [cfg.entity])
+    return pivot_sites(site_summary(tagged, cfg, SITE), cfg, SITE, sites or list(SITE_CODES))
 
 
 def latest_mortality(mortality: DataFrame, cfg: CohortConfig) -> DataFrame:

@@ -26,29 +26,25 @@ def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = No
     writer.parquet(path)
 
 
-def staging_folder(spark: SparkSession) -> str | None:
+def staging_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only in local mode."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="cohortal-")
-        spark.sparkContext.setCheckpointDir(folder)
-        return folder
-    return None
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+    folder = tempfile.mkdtemp(prefix="cohortal-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several consumers read, and read it back.
 
     It survives lost executors and, unlike a cached table, filters and column
-    lists of the consumers reach its scan. Without a shared folder the plan is
-    returned as it is.
+    lists of the consumers reach its scan.
     """
     spark = df.sparkSession
-    folder = staging_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/cohortal-{uuid.uuid4().hex}/{name}"
+    path = f"{staging_folder(spark).rstrip('/')}/cohortal-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,7 +24,6 @@ from cohortal.operators.summary import (
     first_per_group,
     group_summary,
     latest_per_group,
-    pivot_categories,
     site_summary,
 )
 from cohortal.plans import codes, features
@@ -260,15 +259,17 @@ def category_pivot(spark, sf):
     return features.category_features(_categorised(spark, sf), a.CFG, a.CATEGORIES)
 
 
-_FEW = ["C00-C79", "I00-I79", "Z80-Z99"]
-
-
-@query("drop_all_null", g.category_pivot(_CATEGORISED, _FEW))
+@query(
+    "drop_all_null",
+    f"""SELECT {ID}, count(*) AS "Cough_111_calls_last_1_weeks" FROM calls
+        WHERE symptom_group = 'Cough' AND call_date >= {weeks(-1)} GROUP BY {ID}""",
+)
 def drop_all_null_query(spark, sf):
-    """Three categories of all: people with none of them give all-null rows, which go."""
-    events = _categorised(spark, sf)
-    past = events.where(Timeline(events, a.CFG, "date").before())
-    wide = pivot_categories(category_summary(past, a.CFG, CATEGORY), a.CFG, CATEGORY, _FEW)
+    """One symptom of five: people without it give all-null rows, which go."""
+    wide = pivot_since(
+        _labelled(spark, sf), a.CALLS_CFG, time="call_date", weeks=1, label="label",
+        values=["Cough"], suffix="111_calls_last_",
+    )
     return drop_all_null(wide, [ID])
 
 
