@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortal.functions.text import strip_code
-from cohortal.operators.joins import lookup_join
 
 
 def code_longlist(
@@ -90,8 +89,8 @@ def fill_from_fallback(
     left as they are, so the two halves need no split and no union.
     """
     matches = fallback.select(
-        F.col(fallback_key).alias("_fallback_key"), F.col(fallback_value).alias("_fallback")
+        F.col(fallback_key).alias(key), F.col(fallback_value).alias("_fallback")
     )
-    joined = lookup_join(codes, matches, key, "_fallback_key")
+    joined = codes.join(matches, key, "left")
     filled = joined.withColumn(value, F.coalesce(F.col(value), F.col("_fallback")))
     return filled.select(*codes.columns)

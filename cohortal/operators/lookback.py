@@ -12,8 +12,8 @@ from cohortal.functions.weeks import Timeline
 
 def events_before(events: DataFrame, cfg: CohortConfig, time: str) -> DataFrame:
     """Events of known people strictly before the cut-off."""
-    known = events.na.drop(subset=[cfg.entity])
-    return known.where(Timeline(known, cfg, time).before())
+    past = F.col(cfg.entity).isNotNull() & Timeline(events, cfg, time).before()
+    return events.where(past)
 
 
 def count_since(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,9 +59,9 @@ def strata_assign(person: DataFrame, columns: list[str], name: str) -> DataFrame
 
     Equal to an inner join with the crosstab, without the join.
     """
-    known = person.na.drop(subset=columns)
+    known = reduce(and_, [F.col(c).isNotNull() for c in columns])
     rest = [c for c in person.columns if c not in columns]
-    return known.select(*columns, *rest, stratum_label(columns).alias(name))
+    return person.where(known).select(*columns, *rest, stratum_label(columns).alias(name))
 
 
 def split_hash(

@@ -184,37 +184,41 @@ def site_summary(tagged: DataFrame, cfg: CohortConfig, site: str) -> DataFrame:
 
 
 def wide_pivot(
-    summary: DataFrame, entity: str, column: str, values: list[str], aggregates: list[Column]
+    summary: DataFrame, entity: str, column: str, values: list[str], fields: dict[str, Column]
 ) -> DataFrame:
-    """One row per person, columns ``{value}_{alias}`` for the declared values.
+    """One row per person with columns ``{value}_{field}`` for the declared values.
+
+    The summary holds one row per person and value, so nothing is left to add up:
+    a person's rows become a map from value to fields, and each output column is
+    read out of it. A pivot would test every row against every output column.
 
     The narrow summary moves to its person before it is widened: the wide rows
     are never shuffled, and the result lies partitioned for the final join.
+
+    People without a declared value give no row. Dropping all-null rows
+    afterwards would test hundreds of columns at once, and seen through as many
+    renamed columns that is more than the optimiser's inference can take.
     """
-    placed = summary.repartition(entity)
-    return placed.groupBy(entity).pivot(column, values).agg(*aggregates)
+    declared = summary.where(F.col(column).isin(values)).repartition(entity)
+    entry = F.struct(column, F.struct(*[c.alias(n) for n, c in fields.items()]).alias("fields"))
+    maps = declared.groupBy(entity).agg(F.map_from_entries(F.collect_list(entry)).alias("by_value"))
+    by_value = maps.select(entity, *[F.col("by_value")[v].alias(v) for v in values])
+    wide = by_value.select(entity, *[f"`{v}`.*" for v in values])
+    return wide.toDF(entity, *[f"{v}_{n}" for v in values for n in fields])
 
 
 def pivot_categories(
     summary: DataFrame, cfg: CohortConfig, category: str, values: list[str]
 ) -> DataFrame:
-    """Category summary as one row per person that has a declared category.
-
-    Dropping other categories first leaves no all-null row to drop afterwards: a
-    test over every pivoted column, seen through hundreds of renamed columns, is
-    more than the optimiser's constraint inference can take.
-    """
-    summary = summary.where(F.col(category).isin(values))
-    aggregates = [
-        F.sum(f"{category}_binary").alias("binary"),
-        F.first(f"{category}_date_earliest").alias("earliest_date"),
-        F.first(CODE).alias("diagnosis"),
-        *[
-            F.sum(f"{category}_in_last_{n}_weeks").alias(f"last_{n}_weeks")
-            for n in cfg.lookback_weeks
-        ],
-    ]
-    return wide_pivot(summary, cfg.entity, category, values, aggregates)
+    """Category summary as one row per person that has a declared category."""
+    fields = {
+        "binary": F.col(f"{category}_binary").cast("long"),
+        "earliest_date": F.col(f"{category}_date_earliest"),
+        "diagnosis": F.col(CODE),
+    }
+    for n in cfg.lookback_weeks:
+        fields[f"last_{n}_weeks"] = F.col(f"{category}_in_last_{n}_weeks").cast("long")
+    return wide_pivot(summary, cfg.entity, category, values, fields)
 
 
 def pivot_sites(
@@ -222,18 +226,15 @@ def pivot_sites(
 ) -> DataFrame:
     """Site summary as one row per person that has a declared site, the site at the
     end of each name."""
-    summary = summary.where(F.col(site).isin(values))
     everyone = "all_cancer_diagnoses_after_cut_off"
-    aggregates = {
-        "cancer_earliest_date": F.first(f"{site}_date_earliest"),
-        "cancer_latest_date": F.first(f"{site}_date_latest"),
-        "cancer_diagnosis": F.first(CODE),
-        everyone: F.first(everyone),
+    fields = {
+        "cancer_earliest_date": F.col(f"{site}_date_earliest"),
+        "cancer_latest_date": F.col(f"{site}_date_latest"),
+        "cancer_diagnosis": F.col(CODE),
+        everyone: F.col(everyone),
     }
     for n in cfg.horizon_weeks:
-        flags = f"{site}_diagnosis_in_next_{n}_weeks"
-        aggregates[f"cancer_diagnosis_in_next_{n}_weeks"] = F.sum(flags)
-    wide = wide_pivot(
-        summary, cfg.entity, site, values, [a.alias(n) for n, a in aggregates.items()]
-    )
-    return wide.toDF(cfg.entity, *[f"{n}_{v}" for v in values for n in aggregates])
+        flags = F.col(f"{site}_diagnosis_in_next_{n}_weeks")
+        fields[f"cancer_diagnosis_in_next_{n}_weeks"] = flags.cast("long")
+    wide = wide_pivot(summary, cfg.entity, site, values, fields)
+    return wide.toDF(cfg.entity, *[f"{n}_{v}" for v in values for n in fields])

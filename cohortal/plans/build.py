@@ -86,6 +86,7 @@ def prepare(
     needed = [cfg.entity, "activity_id", "attendance_date", *fixed.OUTPATIENT_CODE_COLUMNS]
     outpatient = stage(merged.select(*needed), "outpatient")
     code_map = codes.emergency_code_map(sources.code_map, sources.fallback_map)
+    code_map = stage(code_map, "code_map")
     events = codes.union_sources(
         codes.inpatient_code_rows(sources.inpatient, cfg),
         codes.outpatient_code_rows(outpatient, cfg),

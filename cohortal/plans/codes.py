@@ -120,7 +120,7 @@ def union_sources(
     """
     emergency = emergency.where(F.col("diagnosis") != NOT_A_DIAGNOSIS)
     events = [t.select(cfg.entity, *EVENT) for t in (inpatient, outpatient, emergency)]
-    return union_all(events).na.drop(subset=[cfg.entity])
+    return union_all(events).where(F.col(cfg.entity).isNotNull())
 
 
 def current_reference(reference: DataFrame) -> DataFrame:
