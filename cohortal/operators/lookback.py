@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortal.config import CohortConfig
@@ -86,14 +86,21 @@ def _window_counts(events: DataFrame, cfg: CohortConfig, time: str, label: str)
     )
 
 
-def _label_sums(cfg: CohortConfig, label: str, values: list[str], suffix: str) -> list:
-    return [
-        F.coalesce(F.sum(F.when(F.col(label) == v, F.col(f"n_{n}"))), F.lit(0)).alias(
-            f"{v}_{suffix}{n}_weeks"
-        )
-        for n in cfg.lookback_weeks
-        for v in values
-    ]
+def _by_label(cfg: CohortConfig, label: str, values: list[str]) -> Column:
+    """A person's window counts as a map from declared label to counts."""
+    counts = F.struct(*[f"n_{n}" for n in cfg.lookback_weeks])
+    entry = F.when(F.col(label).isin(values), F.struct(label, counts))
+    return F.map_from_entries(F.collect_list(entry)).alias("by_label")
+
+
+def _spread_labels(
+    people: DataFrame, cfg: CohortConfig, kept: list[str], values: list[str], suffix: str
+) -> DataFrame:
+    """Read ``{label}_{suffix}{n}_weeks`` out of the map, 0 where there is no event."""
+    found = people.select(*kept, *[F.col("by_label")[v].alias(v) for v in values])
+    wide = found.select(*kept, *[f"`{v}`.*" for v in values])
+    names = [f"{v}_{suffix}{n}_weeks" for v in values for n in cfg.lookback_weeks]
+    return wide.toDF(*kept, *names).na.fill(0, subset=names)
 
 
 def lookback_pivot(
@@ -107,11 +114,12 @@ def lookback_pivot(
 ) -> DataFrame:
     """One column per label and window, 0 where there is no event.
 
-    Events shrink to one row per person and label before the wide row is built,
-    so neither a busy person nor the many columns weigh on the first shuffle.
+    Events shrink to one row per person and label before they are gathered per
+    person, so neither a busy person nor the many columns weigh on a shuffle.
     """
     narrow = _window_counts(events_before(events, cfg, time), cfg, time, label)
-    return narrow.groupBy(cfg.entity).agg(*_label_sums(cfg, label, values, suffix))
+    people = narrow.groupBy(cfg.entity).agg(_by_label(cfg, label, values))
+    return _spread_labels(people, cfg, [cfg.entity], values, suffix)
 
 
 def lookback_with_labels(
@@ -139,4 +147,6 @@ def lookback_with_labels(
                 f"{related_prefix}{n}_weeks"
             )
         )
-    return narrow.groupBy(cfg.entity).agg(*sums, *_label_sums(cfg, label, values, prefix))
+    kept = [total, *[f"{p}{n}_weeks" for n in cfg.lookback_weeks for p in (prefix, related_prefix)]]
+    people = narrow.groupBy(cfg.entity).agg(*sums, _by_label(cfg, label, values))
+    return _spread_labels(people, cfg, [cfg.entity, *kept], values, prefix)

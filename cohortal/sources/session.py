@@ -16,5 +16,7 @@ def local_session(cores: int | str = "*", *, app: str = "cohortal", partitions:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Wide tables build thousands of expressions; do not record a call site for each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortal.fixed import CODE_MAP_COLUMNS
 from cohortal.operators.longlist import code_longlist, codes_in_text, fill_from_fallback
 from cohortal.plans import codes
+from cohortal.sources.tables import stage
 from registry import adapters as a
 from registry.catalog import query
 
@@ -37,9 +38,14 @@ def _full_map(spark, sf):
     return codes.emergency_code_map(a.code_map(spark, sf), a.fallback_map(spark, sf))
 
 
+def _staged_map(spark, sf):
+    """The map is a table of its own: written once, then measured and joined."""
+    return stage(_full_map(spark, sf), "code_map")
+
+
 @query("longlist_mapped", "SELECT * FROM emergency_list")
 def longlist_mapped(spark, sf):
-    return codes.emergency_codes(a.emergency(spark, sf), _full_map(spark, sf), a.CFG)
+    return codes.emergency_codes(a.emergency(spark, sf), _staged_map(spark, sf), a.CFG)
 
 
 @query("best_mapping", "SELECT * FROM best_fallback")
@@ -85,7 +91,7 @@ def _three_lists(spark, sf):
     return (
         codes.inpatient_codes(a.inpatient(spark, sf), a.CFG),
         codes.outpatient_codes(merged, a.CFG),
-        codes.emergency_codes(a.emergency(spark, sf), _full_map(spark, sf), a.CFG),
+        codes.emergency_codes(a.emergency(spark, sf), _staged_map(spark, sf), a.CFG),
     )
 
 
