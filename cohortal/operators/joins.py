@@ -47,12 +47,14 @@ def salted_left_join(
 ) -> DataFrame:
     """Left join in which hot and null keys of the left side spread over tasks.
 
-    Left rows with a hot key draw one of ``salts`` numbers from their own
-    content, and only the matching right rows are repeated once per number.
+    Left rows with a hot key take one of ``salts`` numbers from the input
+    partition they lie in, and only the matching right rows are repeated once per
+    number. No join task gets more of a hot key than its share of the input
+    partitions, the salt reads no column, and a retried task gives the same salt.
     Null keys match nothing, so salting them alone keeps them off one task.
     """
     hot = hot_keys(left, left_key)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
+    spread = F.spark_partition_id() % salts
     is_spread = F.col(left_key).isNull() | F.col(left_key).isin(hot)
     copies = F.when(
         F.col(right_key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))

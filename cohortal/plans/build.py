@@ -52,6 +52,8 @@ class Sources:
     code_map: DataFrame
     fallback_map: DataFrame
     code_reference: DataFrame
+    boards: DataFrame
+    alliances: DataFrame
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str) -> Sources:
@@ -168,8 +170,19 @@ def model_values(extra: dict[str, list[str]] | None = None) -> dict[str, list[st
     return values | (extra or {})
 
 
-def _model_person(ready: Prepared, cfg: CohortConfig, tie_break: list[str] | None) -> DataFrame:
-    return wide_person(
+RULE_COLUMNS = ["age", "deducted", "deduction_reason", *fixed.CAUSE_COLUMNS]
+
+
+def stage_people(
+    ready: Prepared, cfg: CohortConfig, *, tie_break: list[str] | None = None
+) -> DataFrame:
+    """Stage one row per person with what both modelling tables start from.
+
+    All joins and all scans of the activity tables end here, once for both
+    outcomes and their exclusion lists. A lost executor costs none of it again,
+    and the label and encoding expressions are planned over plain columns.
+    """
+    wide = wide_person(
         ready,
         cfg,
         categories=[fixed.FAMILY_HISTORY_CATEGORY],
@@ -177,40 +190,34 @@ def _model_person(ready: Prepared, cfg: CohortConfig, tie_break: list[str] | Non
         values=model_values(),
         tie_break=tie_break,
     )
+    needed = [*fixed.model_columns(cfg, death_label=False), *RULE_COLUMNS]
+    return stage(wide.select(*needed), "people")
 
 
-def _stage_cohort(kept: DataFrame, cfg: CohortConfig, name: str) -> DataFrame:
-    """Stage the remaining people with the columns the modelling table starts from.
+def cancer_exclusions(ready: Prepared, people: DataFrame, cfg: CohortConfig) -> DataFrame:
+    """(person, reason) pairs of the cancer outcome."""
+    return cohort.cancer_exclusions(people, prior_condition(ready, cfg, fixed.CANCER), cfg)
 
-    A lost executor then costs none of the wide joins again, and the label and
-    encoding expressions are planned over plain columns, not over the joins.
-    """
-    needed = [*fixed.model_columns(cfg, death_label=False), *fixed.CAUSE_COLUMNS]
-    return stage(kept.select(*needed), name)
 
+def stroke_exclusions(ready: Prepared, people: DataFrame, cfg: CohortConfig) -> DataFrame:
+    """(person, reason) pairs of the stroke outcome."""
+    return cohort.stroke_exclusions(people, prior_condition(ready, cfg, fixed.STROKE), cfg)
 
-def cancer_table(
-    ready: Prepared, cfg: CohortConfig, *, tie_break: list[str] | None = None
-) -> DataFrame:
+
+def cancer_table(ready: Prepared, people: DataFrame, cfg: CohortConfig) -> DataFrame:
     """Cancer modelling table.
 
-    All exclusions read the person's own wide row, so they are filters here and
-    the wide table is computed once.
+    Every exclusion can be read off the person's own row, so they are filters
+    here; the list of reasons is not joined back.
     """
-    wide = _model_person(ready, cfg, tie_break)
     prior = F.col("cancer_before_cut_off_binary") == 1
-    rules = [*cohort.cancer_rules(wide, cfg), (fixed.PRIOR_CANCER, prior)]
-    kept = _stage_cohort(exclude_by_rules(wide, rules), cfg, "cancer_cohort")
-    labelled = cohort.cancer_cohort_labels(kept, cfg)
+    rules = [*cohort.cancer_rules(people, cfg), (fixed.PRIOR_CANCER, prior)]
+    labelled = cohort.cancer_cohort_labels(exclude_by_rules(people, rules), cfg)
     return cohort.cancer_model_table(labelled, site_outcomes(ready, cfg), cfg)
 
 
-def stroke_table(
-    ready: Prepared, cfg: CohortConfig, *, tie_break: list[str] | None = None
-) -> DataFrame:
+def stroke_table(ready: Prepared, people: DataFrame, cfg: CohortConfig) -> DataFrame:
     """Stroke modelling table; prior strokes are a list of their own."""
-    wide = _model_person(ready, cfg, tie_break)
-    kept = exclude_by_rules(wide, cohort.stroke_rules(wide, cfg))
+    kept = exclude_by_rules(people, cohort.stroke_rules(people, cfg))
     kept = exclude(kept, prior_condition(ready, cfg, fixed.STROKE), cfg.entity)
-    kept = _stage_cohort(kept, cfg, "stroke_cohort")
     return cohort.stroke_model_table(kept, condition_outcome(ready, cfg, fixed.STROKE), cfg)

@@ -9,7 +9,7 @@ from cohortal.config import CohortConfig, ConditionRule
 from cohortal.fixed import CAUSE_COLUMNS, GEOGRAPHY_COLUMNS, SITE_CODES, SNAPSHOT_CATEGORIES
 from cohortal.functions.text import keep_alphanumeric, like_any, underscore_label
 from cohortal.functions.weeks import Timeline
-from cohortal.operators.encode import clean_one_hot
+from cohortal.operators.encode import clean_one_hot, discover_values
 from cohortal.operators.joins import assert_unique, lookup_join
 from cohortal.operators.labels import outcome_labels
 from cohortal.operators.longlist import latest_row
@@ -74,8 +74,8 @@ RELATED = "Y"
 def symptom_labels(symptoms: DataFrame) -> list[str]:
     """Column labels of the related symptoms, read from the symptom reference."""
     label = underscore_label(F.col("symptom_group")).alias("label")
-    related = symptoms.where(F.col("cancer_related") == RELATED).select(label).distinct()
-    return sorted(r["label"] for r in related.collect())
+    related = symptoms.where(F.col("cancer_related") == RELATED).select(label)
+    return discover_values(related, ["label"])["label"]
 
 
 def call_features(

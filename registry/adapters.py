@@ -291,4 +291,6 @@ def sources(spark: SparkSession, sf: str) -> Sources:
         code_map=code_map(spark, sf),
         fallback_map=fallback_map(spark, sf),
         code_reference=code_reference(spark, sf),
+        boards=boards(spark, sf),
+        alliances=alliances(spark, sf),
     )

@@ -16,15 +16,9 @@ def _ready(spark, sf):
     return build.prepare(a.sources(spark, sf), a.CFG, first_year=a.FIRST_YEAR)
 
 
-def _expanded(ready):
-    return build.wide_person(
-        ready,
-        a.CFG,
-        categories=g.WIDE_CATEGORIES,
-        symptom_labels=fixed.SYMPTOM_LABELS,
-        values=build.model_values(),
-        tie_break=a.TIE_BREAK,
-    )
+def _ready_people(spark, sf):
+    ready = _ready(spark, sf)
+    return ready, build.stage_people(ready, a.CFG, tie_break=a.TIE_BREAK)
 
 
 @query("assemble_wide", "SELECT * FROM person_wide")
@@ -43,37 +37,36 @@ def assemble_wide(spark, sf):
 
 @query("assemble_expanded", "SELECT * FROM person_expanded")
 def assemble_expanded(spark, sf):
-    return codes_as_text(_expanded(_ready(spark, sf)))
-
-
-def _cancer_list(ready, wide):
-    return cohort.cancer_exclusions(wide, build.prior_condition(ready, a.CFG, fixed.CANCER), a.CFG)
-
-
-def _stroke_list(ready, wide):
-    return cohort.stroke_exclusions(wide, build.prior_condition(ready, a.CFG, fixed.STROKE), a.CFG)
+    wide = build.wide_person(
+        _ready(spark, sf),
+        a.CFG,
+        categories=g.WIDE_CATEGORIES,
+        symptom_labels=fixed.SYMPTOM_LABELS,
+        values=build.model_values(),
+        tie_break=a.TIE_BREAK,
+    )
+    return codes_as_text(wide)
 
 
 @query("exclusion_reasons", "SELECT * FROM cancer_excluded")
 def exclusion_reasons(spark, sf):
-    ready = _ready(spark, sf)
-    return _cancer_list(ready, _expanded(ready))
+    return build.cancer_exclusions(*_ready_people(spark, sf), a.CFG)
 
 
 @query("exclusion_reasons_alt", "SELECT * FROM stroke_excluded")
 def exclusion_reasons_alt(spark, sf):
-    ready = _ready(spark, sf)
-    return _stroke_list(ready, _expanded(ready))
+    return build.stroke_exclusions(*_ready_people(spark, sf), a.CFG)
 
 
 @query(
     "exclude_anti",
-    f"SELECT {ID}, age, gender FROM person WHERE {ID} NOT IN (SELECT {ID} FROM stroke_excluded)",
+    f"""SELECT {ID}, age, gender FROM person_expanded
+        WHERE {ID} NOT IN (SELECT {ID} FROM stroke_excluded)""",
 )
 def exclude_anti(spark, sf):
-    ready = _ready(spark, sf)
-    person = ready.sources.person.select(ID, "age", "gender")
-    return exclude(person, _stroke_list(ready, _expanded(ready)), ID)
+    ready, people = _ready_people(spark, sf)
+    kept = cohort.stroke_cohort(people, build.stroke_exclusions(ready, people, a.CFG), a.CFG)
+    return kept.select(ID, "age", "gender")
 
 
 @query(
@@ -83,10 +76,9 @@ def exclude_anti(spark, sf):
             ON p.{ID} = x.{ID} WHERE reason IS NULL""",
 )
 def exclude_left_isnull(spark, sf):
-    ready = _ready(spark, sf)
-    person = ready.sources.person.select(ID, "age", "gender")
-    listed = _cancer_list(ready, _expanded(ready))
-    return exclude(person, listed, ID, reason_column=True)
+    ready, people = _ready_people(spark, sf)
+    listed = build.cancer_exclusions(ready, people, a.CFG)
+    return exclude(people.select(ID, "age", "gender"), listed, ID, reason_column=True)
 
 
 _LABEL = f"cancer_diagnosis_in_next_{a.CFG.label_weeks}_weeks"
@@ -101,7 +93,7 @@ _SITE_FLAGS = ", ".join(f"coalesce(w.{c}, 0) AS {c}" for c in g.SITE_FLAGS)
         LEFT JOIN site_wide w ON m.{ID} = w.{ID}""",
 )
 def model_table(spark, sf):
-    return codes_as_text(build.cancer_table(_ready(spark, sf), a.CFG, tie_break=a.TIE_BREAK))
+    return codes_as_text(build.cancer_table(*_ready_people(spark, sf), a.CFG))
 
 
 @query(
@@ -116,4 +108,4 @@ def model_table(spark, sf):
     ),
 )
 def model_table_alt(spark, sf):
-    return codes_as_text(build.stroke_table(_ready(spark, sf), a.CFG, tie_break=a.TIE_BREAK))
+    return codes_as_text(build.stroke_table(*_ready_people(spark, sf), a.CFG))
