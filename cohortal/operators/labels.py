@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortal.config import CohortConfig, ConditionRule
 from cohortal.fixed import DEATH_LABEL
 from cohortal.functions.weeks import Timeline, flag
-from cohortal.operators.summary import code_spans, first_and_last
+from cohortal.operators.summary import SPAN, code_spans, first_and_last
 
 
 def label_spans(
@@ -20,7 +20,7 @@ def label_spans(
     anchor: str = "earliest",
 ) -> DataFrame:
     """``outcome_labels`` over spans keyed by person."""
-    ends = first_and_last(spans, [cfg.entity], with_codes=True)
+    ends = first_and_last(spans, [cfg.entity], with_codes=True, **SPAN)
     date = f"{prefix}{condition}_after_cut_off_date"
     code = prefix + "diagnosis_{}_after_cut_off_date"
     out = ends.select(

@@ -1,9 +1,12 @@
 """First, latest and distinct codes per person or per person and group.
 
-Raw rows first shrink to one span per (keys, code): the earliest and latest date
-on which the code was seen. That aggregate has fixed-width buffers, so it runs as
-a map-side combined hash aggregate, and a person with a third of all events is
-down to its distinct codes before anything is gathered per person.
+Two ways to stay clear of a person with a third of all events:
+
+* First and latest are minima and maxima. Each map task sends one row per person,
+  so raw events are aggregated straight away, in one shuffle.
+* A set of codes grows with every map task that sends a part of it. Raw events
+  therefore first shrink to one span per (keys, code), the earliest and latest
+  date of the code, with a hash aggregate spread over all tasks by code.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from cohortal.functions.weeks import Timeline, flag
 
 DATE = "date"
 CODE = "diagnosis"
+# Column names of spans, for the summaries that also read raw events.
+SPAN = {"first": "first_seen", "last": "last_seen", "code": "code"}
 
 
 def code_spans(
@@ -61,18 +66,28 @@ def spans_on_side(spans: DataFrame, cfg: CohortConfig, side: str) -> DataFrame:
     )
 
 
-def first_and_last(spans: DataFrame, keys: list[str], *, with_codes: bool = False) -> DataFrame:
+def first_and_last(
+    df: DataFrame,
+    keys: list[str],
+    *,
+    first: str = DATE,
+    last: str = DATE,
+    code: str = CODE,
+    with_codes: bool = False,
+) -> DataFrame:
     """Per keys: ``first`` and ``last`` as (date, code), optionally the sorted code set.
 
-    Codes break ties on one day: the smallest is first, the greatest is last.
+    Reads events, or spans with ``**SPAN``. Codes break ties on one day: the
+    smallest is first, the greatest is last. ``with_codes`` is meant for spans.
     """
-    parts = [
-        F.min(F.struct(F.col("first_seen").alias("date"), "code")).alias("first"),
-        F.max(F.struct(F.col("last_seen").alias("date"), "code")).alias("last"),
-    ]
+
+    def dated(time: str) -> Column:
+        return F.struct(F.col(time).alias("date"), F.col(code).alias("code"))
+
+    parts = [F.min(dated(first)).alias("first"), F.max(dated(last)).alias("last")]
     if with_codes:
-        parts.append(F.array_sort(F.collect_set("code")).alias("codes"))
-    return spans.groupBy(*keys).agg(*parts)
+        parts.append(F.array_sort(F.collect_set(code)).alias("codes"))
+    return df.groupBy(*keys).agg(*parts)
 
 
 def distinct_codes(events: DataFrame, key: str, *, code: str = CODE, name: str) -> DataFrame:
@@ -88,11 +103,15 @@ def _recent_flags(df: DataFrame, cfg: CohortConfig, time: str, name: str) -> lis
     ]
 
 
-def summarise_group(
-    spans: DataFrame, cfg: CohortConfig, name: str, *, same_code: bool = False
+def group_summary(
+    events: DataFrame, cfg: CohortConfig, name: str, *, same_code: bool = False, **columns: str
 ) -> DataFrame:
-    """``group_summary`` over spans that are already keyed by person."""
-    ends = first_and_last(spans, [cfg.entity])
+    """Per person: first code, earliest and latest date, a flag, and recency flags.
+
+    With ``same_code`` the latest date is given only where the latest row carries
+    the first row's code. ``columns`` are those of ``first_and_last``.
+    """
+    ends = first_and_last(events, [cfg.entity], **columns)
     latest = F.col("last.date")
     if same_code:
         latest = F.when(F.col("first.code") == F.col("last.code"), latest)
@@ -107,21 +126,10 @@ def summarise_group(
     return out.select("*", *_recent_flags(out, cfg, earliest, name))
 
 
-def group_summary(
-    events: DataFrame, cfg: CohortConfig, name: str, *, same_code: bool = False
-) -> DataFrame:
-    """Per person: first code, earliest and latest date, a flag, and recency flags.
-
-    With ``same_code`` the latest date is given only where the latest row carries
-    the first row's code.
-    """
-    return summarise_group(code_spans(events, [cfg.entity]), cfg, name, same_code=same_code)
-
-
 def first_per_group(events: DataFrame, cfg: CohortConfig, group: str) -> DataFrame:
     """Earliest date and its code per person and group."""
     keys = [cfg.entity, group]
-    ends = first_and_last(code_spans(events, keys), keys)
+    ends = first_and_last(events, keys)
     return ends.select(
         *keys, F.col("first.date").alias(f"{group}_date_earliest"), F.col("first.code").alias(CODE)
     )
@@ -132,12 +140,14 @@ def latest_per_group(events: DataFrame, cfg: CohortConfig, group: str) -> DataFr
     return events.groupBy(cfg.entity, group).agg(F.max(DATE).alias(f"{group}_date_latest"))
 
 
-def summarise_categories(spans: DataFrame, cfg: CohortConfig, category: str) -> DataFrame:
-    """``category_summary`` over spans keyed by person and category."""
+def category_summary(
+    events: DataFrame, cfg: CohortConfig, category: str, **columns: str
+) -> DataFrame:
+    """As ``group_summary``, per person and category."""
     keys = [cfg.entity, category]
     earliest = f"{category}_date_earliest"
     # People without a category form one group, which has no latest date.
-    out = first_and_last(spans, keys).select(
+    out = first_and_last(events, keys, **columns).select(
         *keys,
         F.col("first.date").alias(earliest),
         F.col("first.code").alias(CODE),
@@ -147,11 +157,6 @@ def summarise_categories(spans: DataFrame, cfg: CohortConfig, category: str) ->
     return out.select("*", *_recent_flags(out, cfg, earliest, category))
 
 
-def category_summary(events: DataFrame, cfg: CohortConfig, category: str) -> DataFrame:
-    """As ``group_summary``, per person and category."""
-    return summarise_categories(code_spans(events, [cfg.entity, category]), cfg, category)
-
-
 def summarise_sites(spans: DataFrame, cfg: CohortConfig, site: str) -> DataFrame:
     """``site_summary`` over spans keyed by person and site.
 
@@ -159,7 +164,8 @@ def summarise_sites(spans: DataFrame, cfg: CohortConfig, site: str) -> DataFrame
     the whole person then run without another shuffle.
     """
     keys = [cfg.entity, site]
-    ends = first_and_last(spans.repartition(cfg.entity), keys, with_codes=True)
+    placed = spans.repartition(cfg.entity)
+    ends = first_and_last(placed, keys, with_codes=True, **SPAN)
     person = Window.partitionBy(cfg.entity)
     all_codes = F.array_sort(F.array_distinct(F.flatten(F.collect_list("codes").over(person))))
     earliest = f"{site}_date_earliest"

@@ -21,12 +21,13 @@ from cohortal.operators.joins import lookup_join
 from cohortal.operators.labels import label_spans
 from cohortal.operators.sites import site_tag
 from cohortal.operators.summary import (
+    SPAN,
+    category_summary,
+    group_summary,
     pivot_categories,
     pivot_sites,
     spans_around,
     spans_on_side,
-    summarise_categories,
-    summarise_group,
     summarise_sites,
 )
 from cohortal.plans import cohort, codes, features
@@ -100,7 +101,7 @@ def prepare(
 
 def prior_condition(ready: Prepared, cfg: CohortConfig, rule: ConditionRule) -> DataFrame:
     spans = spans_on_side(ready.spans, cfg, "before").where(rule.matches(F.col("code")))
-    return summarise_group(spans, cfg, f"{rule.name}_before_cut_off", same_code=True)
+    return group_summary(spans, cfg, f"{rule.name}_before_cut_off", same_code=True, **SPAN)
 
 
 def condition_outcome(ready: Prepared, cfg: CohortConfig, rule: ConditionRule) -> DataFrame:
@@ -114,7 +115,7 @@ def category_features(ready: Prepared, cfg: CohortConfig, categories: list[str])
     wanted = reference.where(F.col(column).isin(categories)).select("alt_code", column)
     spans = lookup_join(spans_on_side(ready.spans, cfg, "before"), wanted, "code", "alt_code")
     known = spans.where(F.col(column).isNotNull())
-    summary = summarise_categories(known, cfg, column)
+    summary = category_summary(known, cfg, column, **SPAN)
     return pivot_categories(summary, cfg, column, categories)
 
 

@@ -84,9 +84,9 @@ def boards(spark: SparkSession, sf: str) -> DataFrame:
 def alliances(spark: SparkSession, sf: str) -> DataFrame:
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     joined = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    return joined.where("r_name <> 'ASIA'").selectExpr(
+    return joined.selectExpr(
         "concat('L', cast(n_nationkey as string)) as LSOA11CD",
-        "concat(r_name, ' & Alliance') as CAL19NM",
+        "case when r_name <> 'ASIA' then concat(r_name, ' & Alliance') end as CAL19NM",
     )
 
 
@@ -181,7 +181,7 @@ def code_map(spark: SparkSession, sf: str) -> DataFrame:
 
 def fallback_map(spark: SparkSession, sf: str) -> DataFrame:
     """Many rows per source code; only even codes have any."""
-    return table(spark, sf, "lineitem").where("l_returnflag = 'R'").selectExpr(
+    return table(spark, sf, "lineitem").selectExpr(
         "cast(l_partkey * 2 as string) as Referenced_Component_ID",
         "l_linenumber as Map_Block",
         "cast(l_quantity as int) as Map_Group",
@@ -243,7 +243,7 @@ def mortality(spark: SparkSession, sf: str) -> DataFrame:
         f" as s_cod_code_{n}"
         for n in range(1, 16)
     ]
-    return table(spark, sf, "orders").where("o_orderstatus = 'F'").selectExpr(
+    return table(spark, sf, "orders").selectExpr(
         "cast(o_custkey as string) as patient_pseudo_id",
         "o_orderkey as activity_id",
         "cast(o_orderdate as date) as reg_date_of_death",

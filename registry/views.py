@@ -90,8 +90,9 @@ VIEWS = {
     "boards": """SELECT 'L' || n_nationkey AS LSOA11CD,
         r_name || ' (Board-' || n_regionkey || ')' AS ICB22NM
         FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""",
-    "alliances": """SELECT 'L' || n_nationkey AS LSOA11CD, r_name || ' & Alliance' AS CAL19NM
-        FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'""",
+    "alliances": """SELECT 'L' || n_nationkey AS LSOA11CD,
+        CASE WHEN r_name <> 'ASIA' THEN r_name || ' & Alliance' END AS CAL19NM
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "activity_lines": """SELECT
         CASE WHEN l_quantity <> 13 THEN o_custkey::VARCHAR END AS patient_pseudo_id,
         l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS activity_id,
@@ -128,7 +129,7 @@ VIEWS = {
     "fallback_map": f"""SELECT (l_partkey * 2)::VARCHAR AS Referenced_Component_ID,
         l_linenumber AS Map_Block, l_quantity::INT AS Map_Group, l_suppkey AS Map_Priority,
         {code('l_orderkey')} AS Map_Target
-        FROM lineitem WHERE l_returnflag = 'R'""",
+        FROM lineitem""",
     "best_fallback": """SELECT Referenced_Component_ID, Map_Block, Map_Group, Map_Priority, Map_Target
         FROM (SELECT *, row_number() OVER (PARTITION BY Referenced_Component_ID
             ORDER BY Map_Block, Map_Group, Map_Priority DESC, Map_Target) AS rn
@@ -206,7 +207,7 @@ VIEWS = {
         f" AS s_cod_code_{n}"
         for n in range(1, 16)
     )
-    + " FROM orders WHERE o_orderstatus = 'F'",
+    + " FROM orders",
     "snapshots": """SELECT o_custkey::VARCHAR AS patient_pseudo_id, o_orderkey AS snapshot_id,
         o_orderdate::DATE AS date, DATE '1940-01-01' + (o_custkey % 10000)::INT AS date_of_birth,
         NULL::DATE AS date_of_death,

@@ -12,7 +12,13 @@ from cohortal.operators import joins
 from cohortal.operators.longlist import top_row
 from cohortal.operators.lookback import lookback_counts
 from cohortal.operators.sites import site_tag
-from cohortal.operators.summary import code_spans, first_and_last, spans_around, spans_on_side
+from cohortal.operators.summary import (
+    SPAN,
+    code_spans,
+    first_and_last,
+    spans_around,
+    spans_on_side,
+)
 from cohortal.plans import features
 from cohortal.sources.tables import read_table, stage, write_table
 from registry import adapters
@@ -58,7 +64,7 @@ def test_counts_take_one_scan_and_one_shuffle(spark):
 @pytest.mark.parametrize("source", ["events", "skewed"])
 def test_first_and_last_equal_the_long_way(source, request):
     df = request.getfixturevalue(source)
-    got = first_and_last(code_spans(df, [ID]), [ID])
+    got = first_and_last(df, [ID])
     flat = got.select(
         ID, F.col("first.date").alias("first_date"), F.col("first.code").alias("first_code"),
         F.col("last.date").alias("last_date"), F.col("last.code").alias("last_code"),
@@ -66,6 +72,11 @@ def test_first_and_last_equal_the_long_way(source, request):
     same_rows(flat, naive.ends(df, [ID]))
 
 
+def test_spans_give_the_same_ends(skewed):
+    spans = code_spans(skewed, [ID])
+    same_rows(first_and_last(spans, [ID], **SPAN), first_and_last(skewed, [ID]))
+
+
 def test_a_hot_person_is_small_before_it_is_gathered(skewed):
     """After the first shuffle the hot person holds one row per code, not per event."""
     raw = skewed.where(f"{ID} = 'hot'").count()
