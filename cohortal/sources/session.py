@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", *, app: str = "cohortal", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    *,
+    app: str = "cohortal",
+    partitions: int = 8,
+    conf: dict[str, str] | None = None,
+) -> SparkSession:
     """Local session as used by the tests and the bench."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -18,5 +24,7 @@ def local_session(cores: int | str = "*", *, app: str = "cohortal", partitions:
         .config("spark.ui.enabled", "false")
         # Wide tables build thousands of expressions; do not record a call site for each.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()

@@ -14,9 +14,9 @@ from cohortal.sources.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, app="tests")
+    folder = str(tmp_path_factory.mktemp("staging"))
+    session = local_session(8, app="tests", conf={"spark.checkpoint.dir": folder})
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("staging")))
     yield session
     session.stop()
 

@@ -218,3 +218,9 @@ def test_write_and_read(spark, tmp_path, events):
     assert read_table(spark, path).count() == 10
     write_table(events.withColumn("year", F.year("date")), path, partition_by=["year"])
     assert read_table(spark, path).where("year = 1998").inputFiles()[0].count("year=") == 1
+
+
+def test_staging_uses_the_folder_the_session_names(spark, events):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    files = stage(events, "events").inputFiles()
+    assert files and all(folder in f for f in files)
