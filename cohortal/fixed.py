@@ -77,7 +77,9 @@ PERSON_BOOLEANS = [
 ]
 TRISTATE = ["False", "Unknown", "True"]
 GENDERS = ["Female", "Not known", "Not specified", "Male"]
-ETHNICITIES = list("KFEBLMDCJANXSRGPH") + ["99"]
+ETHNICITIES = [
+    "A", "B", "C", "D", "E", "F", "G", "H", "J", "K", "L", "M", "N", "P", "R", "S", "X", "99",
+]
 DECILES = [*[str(n) for n in range(1, 11)], "unknown"]
 
 # Geography columns, snapshot categories and region names.

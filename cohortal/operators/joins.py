@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A reference table is broadcast only when it is measured below both bounds.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -14,17 +15,24 @@ SALTS = 32
 _SALT = "_salt"
 
 
+def _text_size(df: DataFrame) -> Column:
+    """Bytes of a row: text by its length, other simple values as 8, nested ones as JSON."""
+    size = F.lit(0)
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
+            size = size + F.octet_length(F.to_json(F.struct(column)))
+        else:
+            size = size + 8
+    return size
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Measure a table, reading at most one row beyond the bound."""
+    """Count rows and bytes of a table; the count is partial on every task."""
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("n_bytes"),
-        )
-        .first()
-    )
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_text_size(df)).alias("n_bytes")).first()
     return size["n"] <= max_rows and (size["n_bytes"] or 0) <= BROADCAST_MAX_BYTES
 
 

@@ -13,9 +13,11 @@ from cohortal.functions.person import uniform_draw
 MAX_STRATUM_VALUES = 10_000
 
 
-def stratum_label(columns: list[str]) -> Column:
-    """Values joined by dashes; null if any of them is null."""
+def stratum_label(columns: list[str], null_label: str | None = None) -> Column:
+    """Values joined by dashes. A null value makes the label null, or reads ``null_label``."""
     parts = [F.col(c).cast("string") for c in columns]
+    if null_label is not None:
+        parts = [F.coalesce(p, F.lit(null_label)) for p in parts]
     return F.concat(*[p for c in parts for p in (F.lit("-"), c)][1:])
 
 
@@ -54,14 +56,18 @@ def strata_crosstab(
     return out.withColumn(name, stratum_label(columns))
 
 
-def strata_assign(person: DataFrame, columns: list[str], name: str) -> DataFrame:
+def strata_assign(
+    person: DataFrame, columns: list[str], name: str, *, null_label: str | None = None
+) -> DataFrame:
     """Stratum label per person; people with a null in a column are dropped.
 
-    Equal to an inner join with the crosstab, without the join.
+    Equal to an inner join with the crosstab, without the join. With
+    ``null_label`` everyone is kept and nulls read as that text in the label.
     """
-    known = reduce(and_, [F.col(c).isNotNull() for c in columns])
+    if null_label is None:
+        person = person.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
     rest = [c for c in person.columns if c not in columns]
-    return person.where(known).select(*columns, *rest, stratum_label(columns).alias(name))
+    return person.select(*columns, *rest, stratum_label(columns, null_label).alias(name))
 
 
 def split_hash(

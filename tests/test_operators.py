@@ -405,6 +405,8 @@ def test_strata(spark):
     assert {r[ID]: r["category"] for r in assigned.collect()} == {"a": "40-50-F-1", "c": "50-60-M-0"}
     # Equal to the inner join with the crosstab.
     same_rows(df.join(strata_crosstab(df, columns, "category"), columns), assigned)
+    kept = strata_assign(df, columns, "category", null_label="none")
+    assert by_key(kept)["b"]["category"] == "50-60-none-0" and kept.count() == 3
     with pytest.raises(Exception, match="more than 2 values"):
         strata_crosstab(df, columns, "category", max_values=2).collect()
 

@@ -169,7 +169,9 @@ def test_lookup_broadcasts_only_what_it_measured(spark, hot_left, right):
 
 
 def test_broadcast_bound_counts_bytes_too(spark, monkeypatch):
-    wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    wide = spark.range(100).select(
+        "id", F.repeat(F.lit("x"), 1000).alias("t"), F.array(F.lit("y"), F.lit(None)).alias("a")
+    )
     assert joins.fits_broadcast(wide)
     monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 50_000)
     assert not joins.fits_broadcast(wide)
