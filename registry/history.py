@@ -22,7 +22,6 @@ from cohortal.operators.summary import (
     category_summary,
     distinct_codes,
     first_per_group,
-    group_summary,
     latest_per_group,
     site_summary,
 )

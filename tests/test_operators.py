@@ -8,7 +8,7 @@ import pytest
 from conftest import by_key, same_rows
 from pyspark.sql import functions as F
 
-from cohortal.fixed import SITE_CODES
+from cohortal.fixed import CANCER, SITE_CODES
 from cohortal.operators.encode import clean_one_hot, discover_values, one_hot
 from cohortal.operators.joins import (
     assert_unique,
@@ -37,7 +37,6 @@ from cohortal.operators.summary import (
     category_summary,
     distinct_codes,
     first_per_group,
-    group_summary,
     latest_per_group,
     site_summary,
 )
@@ -149,7 +148,8 @@ def test_code_map_fallback(spark):
             ("2", 1, 1, 1, "low priority"),
             ("2", 1, 1, 2, "C50.9"),
         ],
-        "Referenced_Component_ID string, Map_Block int, Map_Group int, Map_Priority int, Map_Target string",
+        "Referenced_Component_ID string, Map_Block int, Map_Group int, Map_Priority int,"
+        " Map_Target string",
     )
     out = codes.emergency_code_map(code_map, fallback)
     assert out.columns == columns
@@ -285,8 +285,8 @@ def test_group_summary(spark, cfg):
         ("c", weeks(-30), "C61"), ("c", weeks(-30), "C34"),
         ("d", CUT, "C50"), ("e", weeks(-1), "C44"),
     )
-    exact = by_key(features.prior_condition(df, cfg, features_rule()))
-    loose = by_key(features.prior_condition(df, cfg, features_rule(), same_code=False))
+    exact = by_key(features.prior_condition(df, cfg, CANCER))
+    loose = by_key(features.prior_condition(df, cfg, CANCER, same_code=False))
     name = "cancer_before_cut_off"
     assert set(exact) == set(loose) == {"a", "b", "c"}
     # The latest date is kept only where first and latest row carry one code.
@@ -299,12 +299,6 @@ def test_group_summary(spark, cfg):
     assert exact["c"][name] == "C34" and exact["c"][f"{name}_date_latest"] is None
 
 
-def features_rule():
-    from cohortal.fixed import CANCER
-
-    return CANCER
-
-
 def test_undated_rows_sort_first(spark, cfg):
     df = events(spark, ("a", None, "X1"), ("a", weeks(-1), "A1")).withColumn("g", F.lit("k"))
     first = first_per_group(df, cfg, "g").first()
@@ -361,7 +355,7 @@ def test_outcome_labels(spark, cfg):
         spark, ("a", weeks(12), "C50"), ("a", weeks(12), "C34"), ("a", weeks(30), "C61"),
         ("b", weeks(12, 1), "C50"), ("c", CUT, "C50"), ("d", weeks(1), "C44"),
     )
-    out = by_key(features.condition_outcome(df, cfg, features_rule()))
+    out = by_key(features.condition_outcome(df, cfg, CANCER))
     assert set(out) == {"a", "b"}
     a, b = out["a"], out["b"]
     assert a["diagnosis_earliest_after_cut_off_date"] == "C34"
