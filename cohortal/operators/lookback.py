@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohortal.config import CohortConfig
 from cohortal.functions.text import is_present
 from cohortal.functions.weeks import Timeline
+from cohortal.operators.encode import discover_values
 
 
 def events_before(events: DataFrame, cfg: CohortConfig, time: str) -> DataFrame:
@@ -38,11 +39,16 @@ def pivot_since(
     time: str,
     weeks: int,
     label: str,
-    values: list[str],
     suffix: str,
+    values: list[str] | None = None,
 ) -> DataFrame:
-    """``count_since`` with one column per declared label, null where there is no event."""
+    """``count_since`` with one column per label, null where there is no event.
+
+    Undeclared labels are those of the window, found in a job of its own.
+    """
     recent = events.where(Timeline(events, cfg, time).since(weeks))
+    if values is None:
+        values = discover_values(recent, [label])[label]
     counts = recent.groupBy(cfg.entity).pivot(label, values).count()
     return counts.toDF(cfg.entity, *[f"{v}_{suffix}{weeks}_weeks" for v in values])
 
@@ -109,15 +115,19 @@ def lookback_pivot(
     *,
     time: str,
     label: str,
-    values: list[str],
     suffix: str,
+    values: list[str] | None = None,
 ) -> DataFrame:
     """One column per label and window, 0 where there is no event.
 
+    Undeclared labels are those before the cut-off, found in a job of its own.
     Events shrink to one row per person and label before they are gathered per
     person, so neither a busy person nor the many columns weigh on a shuffle.
     """
-    narrow = _window_counts(events_before(events, cfg, time), cfg, time, label)
+    past = events_before(events, cfg, time)
+    if values is None:
+        values = discover_values(past, [label])[label]
+    narrow = _window_counts(past, cfg, time, label)
     people = narrow.groupBy(cfg.entity).agg(_by_label(cfg, label, values))
     return _spread_labels(people, cfg, [cfg.entity], values, suffix)
 

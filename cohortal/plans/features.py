@@ -137,10 +137,18 @@ def geography_features(
     return encoded.drop(*[c + suffix for c in GEOGRAPHY_COLUMNS])
 
 
-def category_features(events: DataFrame, cfg: CohortConfig, categories: list[str]) -> DataFrame:
-    """First diagnosis and recency of every declared category, one row per person."""
-    declared = F.col(CATEGORY).isin(categories)
-    past = events.where(Timeline(events, cfg, "date").before() & declared)
+def category_features(
+    events: DataFrame, cfg: CohortConfig, categories: list[str] | None = None
+) -> DataFrame:
+    """First diagnosis and recency of every category, one row per person.
+
+    Undeclared categories are those of the events before the cut-off, found in a
+    job of its own.
+    """
+    past = events.where(Timeline(events, cfg, "date").before())
+    if categories is None:
+        categories = discover_values(past, [CATEGORY])[CATEGORY]
+    past = past.where(F.col(CATEGORY).isin(categories))
     return pivot_categories(category_summary(past, cfg, CATEGORY), cfg, CATEGORY, categories)
 
 

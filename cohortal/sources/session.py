@@ -22,6 +22,8 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # The JVM never compiles methods above this size; interpret such plans instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Wide tables build thousands of expressions; do not record a call site for each.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

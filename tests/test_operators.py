@@ -25,7 +25,12 @@ from cohortal.operators.longlist import (
     keep_one,
     latest_row,
 )
-from cohortal.operators.lookback import count_since, lookback_counts, pivot_since
+from cohortal.operators.lookback import (
+    count_since,
+    lookback_counts,
+    lookback_pivot,
+    pivot_since,
+)
 from cohortal.operators.sites import site_filter, site_tag
 from cohortal.operators.strata import (
     split_hash,
@@ -245,6 +250,25 @@ def test_pivot_since_leaves_nulls(spark, cfg):
     assert [r[ID] for r in drop_all_null(out, [ID]).collect()] == ["a"]
 
 
+def test_labels_and_categories_may_be_discovered(spark, cfg):
+    df = activity(
+        spark, ("a", weeks(-1), "Cough"), ("b", weeks(-30), "Itch"), ("b", weeks(1), "Fever"),
+        ("b", weeks(-1), None),
+    )
+    names = {"time": "attendance_date", "label": "dimention_8", "suffix": "n_"}
+    wide = lookback_pivot(df, cfg, **names)
+    assert wide.columns == [
+        ID, *[f"{v}_n_{n}_weeks" for v in ("Cough", "Itch") for n in cfg.lookback_weeks],
+    ]
+    assert by_key(wide)["b"]["Itch_n_52_weeks"] == 1
+    recent = pivot_since(df, cfg, weeks=4, **names)
+    assert recent.columns == [ID, "Cough_n_4_weeks", "Fever_n_4_weeks"]
+    coded = events(spark, ("a", weeks(-1), "A1"), ("a", weeks(-1), "Z1"), ("a", weeks(1), "B1"))
+    coded = coded.withColumn(features.CATEGORY, F.substring("diagnosis", 1, 1))
+    found = features.category_features(coded, cfg)
+    assert [c for c in found.columns if c.endswith("_binary")] == ["A_binary", "Z_binary"]
+
+
 def test_call_features(spark, cfg):
     calls = spark.createDataFrame(
         [
