@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cohortal.llm import exact_dedup, mixing, packing
+from cohortal.llm import exact_dedup, mixing, near_dedup, packing
 
 QUERIES = {}
 ORACLE = {}
@@ -63,6 +63,12 @@ def op7(spark, sf):
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op8_hyperminhash_near_dedup")
+def op8(spark, sf):
+    found = near_dedup.near_components(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op9_source_mixing")
 def op9(spark, sf):
     mixed = mixing.mix(table(spark, sf, "documents"))
