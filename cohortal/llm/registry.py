@@ -8,7 +8,16 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cohortal.llm import exact_dedup, mixing, near_dedup, packing
+from cohortal.llm import (
+    exact_dedup,
+    langid,
+    mixing,
+    near_dedup,
+    ordinal,
+    packing,
+    quality,
+    secrets,
+)
 
 QUERIES = {}
 ORACLE = {}
@@ -39,6 +48,36 @@ def table(spark, sf: str, name: str):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_ordinal_quality")
+def op1(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = ordinal.train(docs, ordinal.driver_ratings(table(spark, sf, "labels")))
+    graded = ordinal.grade(docs.select("doc_id", "text"), model)
+    return graded.select("doc_id", "expected_grade", "tail_probability", "kept")
+
+
+@query("op2_byte_gru_language")
+def op2(spark, sf):
+    docs = table(spark, sf, "documents")
+    net = langid.train(docs, ~langid.held_out())
+    found = langid.identify(docs.select("doc_id", "text"), net)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_markov_secrets")
+def op4(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return secrets.scan(docs, secrets.train(secrets.labelled_strings(docs)))
+
+
+@query("op6_quality_rules")
+def op6(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = quality.train(docs, table(spark, sf, "labels"))
+    judged = quality.judge(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "probability", "kept")
+
+
 @query("op3_best_fit_packing")
 def op3(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.json")

@@ -31,7 +31,7 @@ class WordHashes(dict):
         return found
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -49,12 +49,12 @@ def shingle_set(words: list[bytes], known: WordHashes) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=n)
     if n < WIDTH:
-        return _mixed((h * _ODD[:n]).sum(dtype=np.uint64, keepdims=True) + np.uint64(n))
+        return mixed((h * _ODD[:n]).sum(dtype=np.uint64, keepdims=True) + np.uint64(n))
     m = n - WIDTH + 1
     total = h[:m] * _ODD[0]
     for k in range(1, WIDTH):
         total += h[k : k + m] * _ODD[k]
-    return np.unique(_mixed(total))
+    return np.unique(mixed(total))
 
 
 def fingerprint(shingles: np.ndarray) -> bytes:
