@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import os
 from functools import wraps
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from cohortal.llm import (
     exact_dedup,
+    html_text,
     langid,
     mixing,
     near_dedup,
@@ -18,15 +19,10 @@ from cohortal.llm import (
     quality,
     secrets,
 )
+from cohortal.llm.workers import importable
 
 QUERIES = {}
 ORACLE = {}
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def importable(spark) -> None:
-    """Let Python workers find this package where it is not installed, as in a checkout."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
 
 
 def query(name: str, sql: str | None = None):
@@ -70,6 +66,11 @@ def op4(spark, sf):
     return secrets.scan(docs, secrets.train(secrets.labelled_strings(docs)))
 
 
+@query("op5_html_layout_text")
+def op5(spark, sf):
+    return html_text.extract(table(spark, sf, "pages")).select("page_id", "text")
+
+
 @query("op6_quality_rules")
 def op6(spark, sf):
     docs = table(spark, sf, "documents")
@@ -113,3 +114,8 @@ def op9(spark, sf):
     mixed = mixing.mix(table(spark, sf, "documents"))
     taken = mixing.taken_words(mixed)
     return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
