@@ -18,6 +18,7 @@ from cohortal.llm import (
     packing,
     quality,
     secrets,
+    suffix_dedup,
 )
 from cohortal.llm.workers import importable
 
@@ -116,6 +117,11 @@ def op9(spark, sf):
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op10_suffix_dedup")
+def op10(spark, sf):
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
