@@ -78,9 +78,9 @@ PERSON_BOOLEANS = [
 TRISTATE = ["False", "Unknown", "True"]
 GENDERS = ["Female", "Not known", "Not specified", "Male"]
 ETHNICITIES = [
-    "A", "B", "C", "D", "E", "F", "G", "H", "J", "K", "L", "M", "N", "P", "R", "S", "X", "99",
+    "K", "F", "99", "E", "B", "L", "M", "D", "C", "J", "A", "N", "X", "S", "R", "G", "P", "H",
 ]
-DECILES = [*[str(n) for n in range(1, 11)], "unknown"]
+DECILES = ["7", "3", "8", "unknown", "5", "6", "9", "1", "10", "4", "2"]
 
 # Geography columns, snapshot categories and region names.
 GEOGRAPHY_COLUMNS = ["cancer_alliance", "integrated_care_board"]
@@ -90,33 +90,163 @@ REGIONS = [
     "North East and Yorkshire", "South West", "Midlands",
 ]
 
-# Columns carried from the health-record snapshot.
+# Columns carried from the health-record snapshot, in their order.
+SNAPSHOT_COLUMNS = [
+    "date",
+    "date_of_birth",
+    "date_of_death",
+    "healthy_well",
+    "ltc",
+    "disability",
+    "frailty_dementia",
+    "organ_failure",
+    "incurable_cancer",
+    "highest_acuity_segment_code",
+    "highest_acuity_segment_name",
+    "highest_acuity_segment_description",
+    "maternal_and_infant_health",
+    "alcohol_dependence",
+    "asthma",
+    "atrial_fibrillation",
+    "bronchiectasis",
+    "cancer",
+    "cerebrovascular_disease",
+    "chronic_kidney_disease",
+    "chronic_liver_disease",
+    "chronic_pain",
+    "copd",
+    "coronary_heart_disease",
+    "cystic_fibrosis",
+    "depression",
+    "diabetes",
+    "epilepsy",
+    "heart_failure",
+    "hypertension",
+    "inflammatory_bowel_disease",
+    "multiple_sclerosis",
+    "osteoarthritis",
+    "osteoporosis",
+    "parkinsons_disease",
+    "peripheral_vascular_disease",
+    "pulmonary_heart_disease",
+    "rheumatoid_arthritis",
+    "sarcoidosis",
+    "serious_mental_illness",
+    "sickle_cell_disease",
+    "autism",
+    "learning_disability",
+    "physical_disability",
+    "dementia",
+    "intermediate_frailty_risk_hfrs",
+    "high_frailty_risk_hfrs",
+    "end_stage_renal_failure",
+    "severe_interstitial_lung_disease",
+    "liver_failure",
+    "neurological_organ_failure",
+    "severe_copd",
+    "severe_heart_failure",
+    "immunocompromised",
+    "spleen_problems",
+    "active_cancer",
+    "active_lung_cancer",
+    "blood_and_bone_marrow_cancer",
+    "bone_marrow_and_stem_cell_transplants",
+    "organ_transplants",
+    "downs_syndrome",
+    "rare_diseases",
+    "palliative_care",
+    "obesity",
+    "other_chronic_respiratory_diseases",
+    "pulmonary_embolism",
+    "congenital_heart_disease",
+    "severe_asthma",
+    "cerebral_palsy",
+    "other_chronic_neurological_diseases",
+]
 SNAPSHOT_DATES = ["date", "date_of_birth", "date_of_death"]
 SNAPSHOT_SEGMENTS = [
     "highest_acuity_segment_code",
     "highest_acuity_segment_name",
     "highest_acuity_segment_description",
 ]
-SNAPSHOT_FLAGS = """
-    healthy_well ltc disability frailty_dementia organ_failure incurable_cancer
-    maternal_and_infant_health alcohol_dependence asthma atrial_fibrillation
-    bronchiectasis cancer cerebrovascular_disease chronic_kidney_disease
-    chronic_liver_disease chronic_pain copd coronary_heart_disease cystic_fibrosis
-    depression diabetes epilepsy heart_failure hypertension
-    inflammatory_bowel_disease multiple_sclerosis osteoarthritis osteoporosis
-    parkinsons_disease peripheral_vascular_disease pulmonary_heart_disease
-    rheumatoid_arthritis sarcoidosis serious_mental_illness sickle_cell_disease
-    autism learning_disability physical_disability dementia
-    intermediate_frailty_risk_hfrs high_frailty_risk_hfrs end_stage_renal_failure
-    severe_interstitial_lung_disease liver_failure neurological_organ_failure
-    severe_copd severe_heart_failure immunocompromised spleen_problems
-    active_cancer active_lung_cancer blood_and_bone_marrow_cancer
-    bone_marrow_and_stem_cell_transplants organ_transplants downs_syndrome
-    rare_diseases palliative_care obesity other_chronic_respiratory_diseases
-    pulmonary_embolism congenital_heart_disease severe_asthma cerebral_palsy
-    other_chronic_neurological_diseases
-""".split()
-SNAPSHOT_COLUMNS = [*SNAPSHOT_DATES, *SNAPSHOT_FLAGS, *SNAPSHOT_SEGMENTS]
+SNAPSHOT_FLAGS = [
+    c for c in SNAPSHOT_COLUMNS if c not in SNAPSHOT_DATES and c not in SNAPSHOT_SEGMENTS
+]
+# Snapshot columns of the modelling table, in their order, before and after
+# the snapshot's categories.
+MODEL_SNAPSHOT_FIRST = [
+    "date",
+    "date_of_birth",
+    "healthy_well",
+    "ltc",
+    "disability",
+    "frailty_dementia",
+    "organ_failure",
+    "incurable_cancer",
+    "highest_acuity_segment_code",
+    "highest_acuity_segment_name",
+    "highest_acuity_segment_description",
+]
+MODEL_SNAPSHOT_LAST = [
+    "hypertension",
+    "depression",
+    "diabetes",
+    "asthma",
+    "osteoarthritis",
+    "coronary_heart_disease",
+    "cancer",
+    "date_of_death",
+    "atrial_fibrillation",
+    "cerebrovascular_disease",
+    "osteoporosis",
+    "copd",
+    "obesity",
+    "heart_failure",
+    "immunocompromised",
+    "peripheral_vascular_disease",
+    "chronic_kidney_disease",
+    "dementia",
+    "chronic_pain",
+    "intermediate_frailty_risk_hfrs",
+    "palliative_care",
+    "high_frailty_risk_hfrs",
+    "serious_mental_illness",
+    "physical_disability",
+    "severe_heart_failure",
+    "epilepsy",
+    "pulmonary_heart_disease",
+    "rheumatoid_arthritis",
+    "severe_copd",
+    "alcohol_dependence",
+    "chronic_liver_disease",
+    "inflammatory_bowel_disease",
+    "other_chronic_respiratory_diseases",
+    "severe_asthma",
+    "pulmonary_embolism",
+    "learning_disability",
+    "congenital_heart_disease",
+    "blood_and_bone_marrow_cancer",
+    "bronchiectasis",
+    "end_stage_renal_failure",
+    "liver_failure",
+    "parkinsons_disease",
+    "autism",
+    "active_cancer",
+    "neurological_organ_failure",
+    "spleen_problems",
+    "severe_interstitial_lung_disease",
+    "rare_diseases",
+    "organ_transplants",
+    "multiple_sclerosis",
+    "other_chronic_neurological_diseases",
+    "cerebral_palsy",
+    "sarcoidosis",
+    "active_lung_cancer",
+    "downs_syndrome",
+    "sickle_cell_disease",
+    "bone_marrow_and_stem_cell_transplants",
+    "cystic_fibrosis",
+]
 # Snapshot columns that stay null for a person without a snapshot.
 SNAPSHOT_NOT_FILLED = [
     *SNAPSHOT_DATES, *SNAPSHOT_SEGMENTS,
@@ -165,15 +295,15 @@ SYMPTOM_LABELS = [
 RURAL_URBAN = {
     "Rural town and fringe in a sparse setting": "rural",
     "Rural town and fringe": "rural",
-    "Rural hamlets and isolated dwellings in a sparse setting": "rural",
     "Rural hamlets and isolated dwellings": "rural",
-    "Rural village in a sparse setting": "rural",
-    "Rural village": "rural",
+    "unknown": "unknown",
     "Urban city and town in a sparse setting": "urban",
     "Urban city and town": "urban",
+    "Rural hamlets and isolated dwellings in a sparse setting": "rural",
     "Urban minor conurbation": "urban",
+    "Rural village in a sparse setting": "rural",
+    "Rural village": "rural",
     "Urban major conurbation": "urban",
-    "unknown": "unknown",
 }
 # Household types 1-62 fall into groups by range: (first, last, group).
 _HOUSEHOLD_RANGES = [
@@ -204,7 +334,7 @@ DEATH_LABEL = "first_cancer_diagnosis_at_death_after_cut_off"
 
 
 def model_columns(cfg, *, death_label: bool = True) -> list[str]:
-    """Columns of the modelling table, built from the naming rules above."""
+    """Columns of the modelling table in their order, built from the naming rules above."""
     n = cfg.label_weeks
     last = f"last_{n}_weeks"
     before = "cancer_before_cut_off"
@@ -235,8 +365,9 @@ def model_columns(cfg, *, death_label: bool = True) -> list[str]:
     one_hot += [("gender", GENDERS), ("ethnicity_code", ETHNICITIES), ("imd_decile", DECILES)]
     names += [f"{c}{clean}_{v.replace(' ', '_')}" for c, values in one_hot for v in values]
     names += [f"acorn_household_type{clean}", "age_clean"]
-    names += [f"phr_{c}" for c in SNAPSHOT_COLUMNS if c != "maternal_and_infant_health"]
+    names += [f"phr_{c}" for c in MODEL_SNAPSHOT_FIRST]
     names += [f"phr_{c}{clean}" for c in SNAPSHOT_CATEGORIES]
     names += [f"phr_nhs_region{clean}_{v.replace(' ', '_')}" for v in REGIONS]
+    names += [f"phr_{c}" for c in MODEL_SNAPSHOT_LAST]
     names += [f"{FAMILY_HISTORY_CATEGORY}_{last}"]
     return names + [DEATH_LABEL] if death_label else names

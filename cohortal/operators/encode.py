@@ -8,16 +8,11 @@ from pyspark.sql import functions as F
 from cohortal.functions.text import fill_blank
 from cohortal.functions.weeks import flag
 
-MAX_VALUES = 10_000
-
-
-def discover_values(
-    df: DataFrame, columns: list[str], max_values: int = MAX_VALUES
-) -> dict[str, list[str]]:
+def discover_values(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted distinct non-null values of all columns, found in one job.
 
-    The distinct runs on the cluster. The driver receives at most
-    ``max_values + 1`` values and refuses a column that is no category.
+    The distinct runs on the cluster. The driver receives one entry for each 0/1 column
+    of the result, whose schema it has to hold anyway.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]
@@ -27,12 +22,12 @@ def discover_values(
         .select("p.c", "p.v")
         .where("v is not null")
         .distinct()
-        .limit(max_values + 1)
         .collect()
     )
-    if len(found) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {columns}")
-    return {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
+    values: dict[str, list[str]] = {c: [] for c in columns}
+    for c, v in found:
+        values[c].append(v)
+    return {c: sorted(v) for c, v in values.items()}
 
 
 def one_hot_columns(column: str, values: list[str]) -> list[Column]:

@@ -9,12 +9,16 @@ from pyspark.sql import types as T
 # A reference table is broadcast only when it is measured below both bounds.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# A key is hot when it may hold at least this share of the rows.
-HOT_SHARE = 0.01
-SALTS = 32
+# The frequent-items sketch takes no smaller share than this.
+LEAST_SHARE = 1.1e-4
 _SALT = "_salt"
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """Join tasks of the session: the measure of what one task should hold."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _text_size(df: DataFrame) -> Column:
     """Bytes of a row: text by its length, other simple values as 8, nested ones as JSON."""
     size = F.lit(0)
@@ -36,12 +40,14 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     return size["n"] <= max_rows and (size["n_bytes"] or 0) <= BROADCAST_MAX_BYTES
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that may hold at least ``share`` of the non-null rows.
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
+    """Keys that may hold at least ``share`` of the non-null rows, by default the even
+    share of one shuffle partition.
 
     The frequent-items sketch merges map-side and returns at most ``1 / share``
     keys. It may name a few keys too many; salting those is harmless.
     """
+    share = share or max(LEAST_SHARE, 1 / shuffle_partitions(df))
     found = df.select(key).where(F.col(key).isNotNull()).stat.freqItems([key], share).first()
     return list(found[0]) if found and found[0] else []
 
@@ -51,23 +57,35 @@ def _equal(left_key: str, right_key: str) -> Column:
 
 
 def salted_left_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, salts: int = SALTS
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    *,
+    salts: int | None = None,
+    unique_left: bool = False,
 ) -> DataFrame:
     """Left join in which hot and null keys of the left side spread over tasks.
 
-    Left rows with a hot key take one of ``salts`` numbers from the input
-    partition they lie in, and only the matching right rows are repeated once per
-    number. No join task gets more of a hot key than its share of the input
-    partitions, the salt reads no column, and a retried task gives the same salt.
-    Null keys match nothing, so salting them alone keeps them off one task.
+    Left rows with a hot key take one of ``salts`` numbers (by default as many as there
+    are shuffle partitions) from the input partition they lie in, and only the matching
+    right rows are repeated once per number. No join task gets more of a hot key than its
+    share of the input partitions, the salt reads no column, and a retried task gives the
+    same salt. Null keys match nothing and need no copies on the right, so they take the
+    number of their input partition itself, however many there are. A key that is an
+    identifier (``unique_left``) can only be null often; it is not searched for hot values.
     """
-    hot = hot_keys(left, left_key)
-    spread = F.spark_partition_id() % salts
-    is_spread = F.col(left_key).isNull() | F.col(left_key).isin(hot)
-    copies = F.when(
-        F.col(right_key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    left = left.withColumn(_SALT, F.when(is_spread, spread).otherwise(0))
+    salts = salts or shuffle_partitions(left)
+    hot = [] if unique_left else hot_keys(left, left_key)
+    key = F.col(left_key)
+    salt = F.when(key.isNull(), F.spark_partition_id())
+    copies = F.array(F.lit(0))
+    if hot:
+        salt = salt.when(key.isin(hot), F.spark_partition_id() % salts)
+        copies = F.when(
+            F.col(right_key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))
+        ).otherwise(copies)
+    left = left.withColumn(_SALT, salt.otherwise(0))
     right = right.where(F.col(right_key).isNotNull()).withColumn(_SALT, F.explode(copies))
     on = _equal(left_key, right_key) & _equal(_SALT, _SALT)
     return left.alias("l").join(right.alias("r"), on, "left").drop(_SALT)
@@ -92,8 +110,12 @@ def lookup_join(
 
 
 def assert_unique(reference: DataFrame, key: str) -> None:
-    """Reject a reference whose key repeats; it would multiply the facts."""
-    repeated = reference.groupBy(key).count().where("count > 1").select(key).first()
+    """Reject a reference whose key repeats; it would multiply the facts.
+
+    Null keys match nothing and may repeat.
+    """
+    known = reference.where(F.col(key).isNotNull())
+    repeated = known.groupBy(key).count().where("count > 1").select(key).first()
     if repeated is not None:
         raise ValueError(f"reference key {key} is not unique, e.g. {repeated[0]!r}")
 

@@ -48,22 +48,34 @@ def keep_one(df: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*[F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns])
 
 
+def _column(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def row_hash(df: DataFrame) -> Column:
+    """One number for a whole row: a short tie-break for wide tables."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def top_row(
-    df: DataFrame, keys: list[str], by: list[Column], tie_break: list[str] | None = None
+    df: DataFrame,
+    keys: list[str],
+    by: list[Column],
+    tie_break: list[str | Column] | None = None,
 ) -> DataFrame:
     """First row per key in the given order.
 
-    Ties fall to ``tie_break`` columns, by default all remaining ones. Spark cuts
+    Ties fall to ``tie_break``, by default all remaining columns. Spark cuts
     each key to one row before the shuffle (WindowGroupLimit).
     """
     ties = tie_break if tie_break is not None else [c for c in df.columns if c not in keys]
-    order = Window.partitionBy(*keys).orderBy(*by, *[F.col(c).asc() for c in ties])
+    order = Window.partitionBy(*keys).orderBy(*by, *[_column(c).asc() for c in ties])
     ranked = df.withColumn("_row", F.row_number().over(order))
     return ranked.where("_row = 1").drop("_row")
 
 
 def latest_row(
-    df: DataFrame, key: str, time: str, tie_break: list[str] | None = None
+    df: DataFrame, key: str, time: str, tie_break: list[str | Column] | None = None
 ) -> DataFrame:
     """Row with the greatest ``time`` per key."""
     return top_row(df, [key], [F.col(time).desc()], tie_break)

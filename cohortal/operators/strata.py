@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from cohortal.functions.person import uniform_draw
 
-MAX_STRATUM_VALUES = 10_000
-
 
 def stratum_label(columns: list[str], null_label: str | None = None) -> Column:
     """Values joined by dashes. A null value makes the label null, or reads ``null_label``."""
@@ -21,39 +19,22 @@ def stratum_label(columns: list[str], null_label: str | None = None) -> Column:
     return F.concat(*[p for c in parts for p in (F.lit("-"), c)][1:])
 
 
-def strata_crosstab(
-    person: DataFrame, columns: list[str], name: str, max_values: int = MAX_STRATUM_VALUES
-) -> DataFrame:
+def strata_crosstab(person: DataFrame, columns: list[str], name: str) -> DataFrame:
     """Every combination of the values seen in the columns, with its label.
 
-    One pass finds the distinct values of all columns. Only that short list, which
-    is refused beyond ``max_values``, is brought together and expanded.
+    One distinct over all columns at once finds the values. The product of the short
+    lists is the result asked for; it is formed by the tasks that hold the values.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]
     )
-    seen = (
-        person.select(F.explode(pairs).alias("p"))
-        .select("p.c", "p.v")
-        .distinct()
-        .limit(max_values + 1)
-    )
-    # A null value is a value of its own here, so it is kept as a list entry.
-    lists = seen.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[
-            F.sort_array(F.collect_list(F.when(F.col("c") == c, F.struct("v")))).alias(c)
-            for c in columns
-        ],
-    )
-    too_many = F.raise_error(F.lit(f"more than {max_values} values in {columns}"))
-    out = lists.where(F.when(F.col("n") > max_values, too_many.cast("boolean")).otherwise(True))
-    for c in columns:
-        others = [o for o in out.columns if o != c]
-        out = out.select(*others, F.explode(c).alias(c))
+    seen = person.select(F.explode(pairs).alias("p")).select("p.c", "p.v").distinct()
     types = {f.name: f.dataType for f in person.schema.fields}
-    out = out.select(*[F.col(c)["v"].cast(types[c]).alias(c) for c in columns])
-    return out.withColumn(name, stratum_label(columns))
+    # A null value is a value of its own here.
+    lists = [
+        seen.where(F.col("c") == c).select(F.col("v").cast(types[c]).alias(c)) for c in columns
+    ]
+    return reduce(DataFrame.crossJoin, lists).withColumn(name, stratum_label(columns))
 
 
 def strata_assign(
@@ -82,10 +63,14 @@ def split_hash(
     """Assign each row to a part by a seeded hash of its key.
 
     Membership depends on seed and key alone: not on partitioning, retries or
-    which other rows are present. Fractions are weights and need not sum to 1.
+    which other rows are present. A row without a key is drawn by its other columns, so
+    that such rows spread over the parts too; equal ones fall together. Fractions are
+    weights and need not sum to 1.
     """
     fractions = fractions or {"train": 0.6, "validate": 0.2, "test": 0.2}
-    drawn = F.col(key).cast("string")
+    others = [F.col(f"`{c}`") for c in person.columns if c != key]
+    whole = F.xxhash64(*others) if others else F.lit(0)
+    drawn = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("row:"), whole.cast("string")))
     if salt is not None:
         drawn = F.concat(salt.cast("string"), F.lit(":"), drawn)
     draw = uniform_draw(drawn, seed)

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortal import fixed
 from cohortal.config import CohortConfig, ConditionRule
+from cohortal.operators.encode import discover_values
 from cohortal.operators.exclude import exclude, exclude_by_rules
 from cohortal.operators.joins import lookup_join
 from cohortal.operators.labels import label_spans
@@ -109,6 +110,15 @@ def condition_outcome(ready: Prepared, cfg: CohortConfig, rule: ConditionRule) -
     return label_spans(spans, cfg, rule.name)
 
 
+def past_categories(ready: Prepared, cfg: CohortConfig) -> list[str]:
+    """Categories of the codes before the cut-off."""
+    reference = codes.current_reference(ready.sources.code_reference)
+    column = features.CATEGORY
+    past = spans_on_side(ready.spans, cfg, "before").select("code").distinct()
+    found = past.join(reference.select("alt_code", column), F.col("code") == F.col("alt_code"))
+    return discover_values(found, [column])[column]
+
+
 def category_features(ready: Prepared, cfg: CohortConfig, categories: list[str]) -> DataFrame:
     reference = codes.current_reference(ready.sources.code_reference)
     column = features.CATEGORY
@@ -132,7 +142,7 @@ def wide_person(
     categories: list[str],
     symptom_labels: list[str] | None = None,
     values: dict[str, list[str]] | None = None,
-    tie_break: list[str] | None = None,
+    tie_break: list[str | Column] | None = None,
 ) -> DataFrame:
     """Every person with all features and cancer labels, nobody excluded."""
     s = ready.sources
@@ -175,7 +185,7 @@ RULE_COLUMNS = ["age", "deducted", "deduction_reason", *fixed.CAUSE_COLUMNS]
 
 
 def stage_people(
-    ready: Prepared, cfg: CohortConfig, *, tie_break: list[str] | None = None
+    ready: Prepared, cfg: CohortConfig, *, tie_break: list[str | Column] | None = None
 ) -> DataFrame:
     """Stage one row per person with what both modelling tables start from.
 

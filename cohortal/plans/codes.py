@@ -36,9 +36,12 @@ def union_periods(
 
 
 def outpatient_with_codes(activity: DataFrame, raw: DataFrame) -> DataFrame:
-    """Outpatient activity with its raw diagnosis row, matched on the id as text."""
+    """Outpatient activity with its raw diagnosis row, matched on the id as text.
+
+    The id names one attendance, so only nulls can be frequent.
+    """
     keyed = raw.withColumn("OPA_Ident_str", F.col("OPA_Ident").cast("string"))
-    return salted_left_join(activity, keyed, "opa_ident_min", "OPA_Ident_str")
+    return salted_left_join(activity, keyed, "opa_ident_min", "OPA_Ident_str", unique_left=True)
 
 
 def best_mapping(fallback: DataFrame) -> DataFrame:
@@ -112,15 +115,23 @@ def outpatient_codes(activity: DataFrame, cfg: CohortConfig) -> DataFrame:
 
 
 def union_sources(
-    inpatient: DataFrame, outpatient: DataFrame, emergency: DataFrame, cfg: CohortConfig
+    inpatient: DataFrame,
+    outpatient: DataFrame,
+    emergency: DataFrame,
+    cfg: CohortConfig,
+    *,
+    once_a_day: bool = False,
 ) -> DataFrame:
     """The three lists as one, without referrals and without events of no person.
 
-    The referral test also drops emergency codes that found no target code.
+    The referral test also drops emergency codes that found no target code. The lists may
+    hold repeats: ``once_a_day`` keeps each code once per person, day and source, by a
+    distinct over the four columns that are left.
     """
     emergency = emergency.where(F.col("diagnosis") != NOT_A_DIAGNOSIS)
     events = [t.select(cfg.entity, *EVENT) for t in (inpatient, outpatient, emergency)]
-    return union_all(events).where(F.col(cfg.entity).isNotNull())
+    known = union_all(events).where(F.col(cfg.entity).isNotNull())
+    return known.distinct() if once_a_day else known
 
 
 def current_reference(reference: DataFrame) -> DataFrame:
@@ -137,6 +148,6 @@ def combined_codes(
     reference: DataFrame,
     cfg: CohortConfig,
 ) -> DataFrame:
-    """All coded events with their row of the current code reference."""
-    events = union_sources(inpatient, outpatient, emergency, cfg)
+    """All coded events, each once a day, with their row of the current code reference."""
+    events = union_sources(inpatient, outpatient, emergency, cfg, once_a_day=True)
     return lookup_join(events, current_reference(reference), "diagnosis", "alt_code")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortal.config import CohortConfig, ConditionRule
@@ -108,7 +108,7 @@ def snapshot_features(
     snapshots: DataFrame,
     cfg: CohortConfig,
     values: dict[str, list[str]] | None = None,
-    tie_break: list[str] | None = None,
+    tie_break: list[str | Column] | None = None,
 ) -> DataFrame:
     """Latest health-record snapshot per person with its two categories one-hot."""
     latest = latest_row(snapshots, cfg.entity, "date", tie_break)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -27,15 +31,26 @@ def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = No
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only in local mode."""
+    """The shared folder the cluster names for checkpoints, else the shared warehouse."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="cohortal-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (folder or f"{spark.conf.get(WAREHOUSE_DIR)}/cohortal_staged").rstrip("/")
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[str]:
+    """Keep all tables staged inside the block in one folder, and remove it at the end.
+
+    For callers that write their results within the block; a table read later would miss
+    its staged inputs.
+    """
+    folder = f"{staging_folder(spark)}/cohortal-{uuid.uuid4().hex}"
+    token = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -45,6 +60,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     lists of the consumers reach its scan.
     """
     spark = df.sparkSession
-    path = f"{staging_folder(spark).rstrip('/')}/cohortal-{uuid.uuid4().hex}/{name}"
+    run = _RUN_FOLDER.get()
+    unique = uuid.uuid4().hex
+    path = f"{run}/{unique}/{name}" if run else f"{staging_folder(spark)}/cohortal-{unique}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

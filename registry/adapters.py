@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortal import CohortConfig
+from cohortal import fixed
 from cohortal.fixed import CODE_MAP_COLUMNS, OUTPATIENT_CODE_COLUMNS, SNAPSHOT_FLAGS
 from cohortal.plans.build import Sources
 from cohortal.sources.tables import read_table
@@ -210,9 +211,26 @@ CATEGORIES = [
     for low, high in (("00", "79"), ("80", "99"))
 ]
 
+# Every value of the categories, blanks included, as the adapters above make them.
+CATEGORY_VALUES = {
+    "gender": [*fixed.GENDERS, "unknown"],
+    "ethnicity_code": [*fixed.ETHNICITIES, "Z", "unknown"],
+    "imd_decile": fixed.DECILES,
+    "acorn_household_type": [*[str(n) for n in range(1, 70)], "unknown"],
+    "acorn_wellbeing_type": [f"type {n}" for n in range(4)],
+    "rural_urban_classification": [
+        "Rural village", "Urban major conurbation", "Rural town and fringe",
+        "Urban city and town", "Elsewhere", "unknown",
+    ],
+    "ccg_of_residence": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "nhs_region": fixed.REGIONS,
+    "stp_code": ["QF", "QO", "QP"],
+}
+
 SYMPTOM = """case event_type when 'click' then 'Cough' when 'error' then 'Tiredness (Fatigue)'
     when 'purchase' then 'Abdominal Pain, Rectal Bleeding, Pregnant Over 20 Weeks'
     when 'signup' then 'Pain and/or Frequency Passing Urine' else 'Earache' end"""
+UNRELATED_LABEL = "Earache"
 CALL_LABELS = [
     "Abdominal_Pain__Rectal_Bleeding__Pregnant_Over_20_Weeks",
     "Cough",

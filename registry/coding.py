@@ -89,15 +89,15 @@ def _three_lists(spark, sf):
     periods = codes.union_periods(a.outpatient_raw(spark, sf), a.FIRST_YEAR)
     merged = codes.outpatient_with_codes(a.outpatient(spark, sf), periods)
     return (
-        codes.inpatient_codes(a.inpatient(spark, sf), a.CFG),
-        codes.outpatient_codes(merged, a.CFG),
-        codes.emergency_codes(a.emergency(spark, sf), _staged_map(spark, sf), a.CFG),
+        codes.inpatient_code_rows(a.inpatient(spark, sf), a.CFG),
+        codes.outpatient_code_rows(merged, a.CFG),
+        codes.emergency_code_rows(a.emergency(spark, sf), _staged_map(spark, sf), a.CFG),
     )
 
 
 @query("union_sources", "SELECT * FROM all_codes")
 def union_sources(spark, sf):
-    return codes.union_sources(*_three_lists(spark, sf), a.CFG)
+    return codes.union_sources(*_three_lists(spark, sf), a.CFG, once_a_day=True)
 
 
 @query(

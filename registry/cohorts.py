@@ -5,6 +5,7 @@ from __future__ import annotations
 from cohortal import fixed
 from cohortal.operators.exclude import exclude
 from cohortal.plans import build, cohort
+from cohortal.sources.tables import stage
 from registry import adapters as a
 from registry import sqlgen as g
 from registry.catalog import codes_as_text, query
@@ -28,24 +29,27 @@ def assemble_wide(spark, sf):
         cohort.person_features(
             ready.sources.person,
             build.condition_outcome(ready, a.CFG, fixed.CANCER),
-            build.category_features(ready, a.CFG, g.WIDE_CATEGORIES),
+            build.category_features(ready, a.CFG, a.CATEGORIES),
             build.prior_condition(ready, a.CFG, fixed.CANCER),
             a.CFG,
         )
     )
 
 
-@query("assemble_expanded", "SELECT * FROM person_expanded")
-def assemble_expanded(spark, sf):
-    wide = build.wide_person(
-        _ready(spark, sf),
+def _expanded(ready):
+    return build.wide_person(
+        ready,
         a.CFG,
-        categories=g.WIDE_CATEGORIES,
+        categories=a.CATEGORIES,
         symptom_labels=fixed.SYMPTOM_LABELS,
-        values=build.model_values(),
+        values=a.CATEGORY_VALUES,
         tie_break=a.TIE_BREAK,
     )
-    return codes_as_text(wide)
+
+
+@query("assemble_expanded", "SELECT * FROM person_expanded")
+def assemble_expanded(spark, sf):
+    return codes_as_text(_expanded(_ready(spark, sf)))
 
 
 @query("exclusion_reasons", "SELECT * FROM cancer_excluded")
@@ -58,27 +62,45 @@ def exclusion_reasons_alt(spark, sf):
     return build.stroke_exclusions(*_ready_people(spark, sf), a.CFG)
 
 
+@query("cancer_cohort", "SELECT *, NULL::VARCHAR AS reason FROM cancer_kept")
+def cancer_cohort(spark, sf):
+    """Whole rows of the people who stay, with the labels raised by deaths."""
+    ready = _ready(spark, sf)
+    wide = stage(_expanded(ready), "expanded")
+    listed = build.cancer_exclusions(ready, wide, a.CFG)
+    return codes_as_text(cohort.cancer_cohort(wide, listed, a.CFG))
+
+
+@query("stroke_cohort", "SELECT * FROM stroke_kept")
+def stroke_cohort(spark, sf):
+    """Whole rows of the people who stay."""
+    ready = _ready(spark, sf)
+    wide = stage(_expanded(ready), "expanded")
+    listed = build.stroke_exclusions(ready, wide, a.CFG)
+    return codes_as_text(cohort.stroke_cohort(wide, listed, a.CFG))
+
+
 @query(
     "exclude_anti",
-    f"""SELECT {ID}, age, gender FROM person_expanded
+    f"""SELECT * FROM person
         WHERE {ID} NOT IN (SELECT {ID} FROM stroke_excluded)""",
 )
 def exclude_anti(spark, sf):
     ready, people = _ready_people(spark, sf)
-    kept = cohort.stroke_cohort(people, build.stroke_exclusions(ready, people, a.CFG), a.CFG)
-    return kept.select(ID, "age", "gender")
+    listed = build.stroke_exclusions(ready, people, a.CFG)
+    return exclude(ready.sources.person, listed, ID)
 
 
 @query(
     "exclude_left_isnull",
-    f"""SELECT p.{ID}, age, gender, reason FROM person p
+    f"""SELECT p.*, reason FROM person p
         LEFT JOIN (SELECT {ID}, min(reason) AS reason FROM cancer_excluded GROUP BY {ID}) x
             ON p.{ID} = x.{ID} WHERE reason IS NULL""",
 )
 def exclude_left_isnull(spark, sf):
     ready, people = _ready_people(spark, sf)
     listed = build.cancer_exclusions(ready, people, a.CFG)
-    return exclude(people.select(ID, "age", "gender"), listed, ID, reason_column=True)
+    return exclude(ready.sources.person, listed, ID, reason_column=True)
 
 
 _LABEL = f"cancer_diagnosis_in_next_{a.CFG.label_weeks}_weeks"

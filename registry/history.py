@@ -129,6 +129,46 @@ def lookback_pivot_query(spark, sf):
     )
 
 
+_ALL_LABELS = sorted([*a.CALL_LABELS, a.UNRELATED_LABEL])
+
+
+@query(
+    "pivot_since_discovered",
+    f"SELECT {ID}, "
+    + ", ".join(
+        f"nullif(count(*) FILTER (WHERE label = '{v}'), 0) AS \"{v}_111_calls_last_2_weeks\""
+        for v in _ALL_LABELS
+    )
+    + f""" FROM (SELECT *, regexp_replace(symptom_group, '[ ,()]', '_', 'g') AS label FROM calls)
+        WHERE call_date >= {weeks(-2)} GROUP BY {ID}""",
+)
+def pivot_since_discovered(spark, sf):
+    """All labels that occur, found in the data."""
+    return pivot_since(
+        _labelled(spark, sf), a.CALLS_CFG, time="call_date", weeks=2, label="label",
+        suffix="111_calls_last_",
+    )
+
+
+@query(
+    "lookback_pivot_discovered",
+    f"SELECT {ID}, "
+    + ", ".join(
+        f"count(*) FILTER (WHERE label = '{v}' AND call_date >= {weeks(-n)})"
+        f' AS "{v}_111_calls_last_{n}_weeks"'
+        for n in a.CALLS_CFG.lookback_weeks
+        for v in _ALL_LABELS
+    )
+    + f""" FROM (SELECT *, regexp_replace(symptom_group, '[ ,()]', '_', 'g') AS label FROM calls)
+        WHERE {ID} IS NOT NULL AND call_date < {CUT} GROUP BY {ID}""",
+)
+def lookback_pivot_discovered(spark, sf):
+    return lookback_pivot(
+        _labelled(spark, sf), a.CALLS_CFG, time="call_date", label="label",
+        suffix="111_calls_last_",
+    )
+
+
 @query("calls_features", g.call_counts(a.CALL_LABELS, a.CALLS_CFG.lookback_weeks))
 def calls_features(spark, sf):
     """The symptom labels are read from the symptom reference."""

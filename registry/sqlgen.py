@@ -4,7 +4,7 @@ join per output, so that it checks the single-pass forms independently."""
 from __future__ import annotations
 
 from cohortal import fixed
-from registry.adapters import CATEGORIES, CFG
+from registry.adapters import CATEGORIES, CATEGORY_VALUES, CFG
 from registry.views import CUT, VIEWS, sql_list, weeks
 
 ID = "patient_pseudo_id"
@@ -226,7 +226,6 @@ OUTCOME_COLUMNS = [
     "all_cancer_diagnoses_after_cut_off",
 ]
 PRIOR = "cancer_before_cut_off"
-WIDE_CATEGORIES = ["C00-C79", fixed.FAMILY_HISTORY_CATEGORY]
 COUNT_TABLES = {
     "emergency_counts": (
         "emergency", "ae_attend_total", "ae_attendances_last_",
@@ -249,7 +248,7 @@ VIEWS["cancer_outcome"] = outcome("all_codes", "cancer", CANCER)
 VIEWS["stroke_outcome"] = outcome("all_codes", "stroke", STROKE)
 VIEWS["prior_cancer"] = group("all_codes", PRIOR, CANCER, same_code=True)
 VIEWS["prior_stroke"] = group("all_codes", "stroke_before_cut_off", STROKE, same_code=True)
-VIEWS["category_wide"] = category_pivot(with_category("all_codes"), WIDE_CATEGORIES)
+VIEWS["category_wide"] = category_pivot(with_category("all_codes"))
 VIEWS["tagged_codes"] = """SELECT a.*, cancer_type FROM all_codes a
     JOIN sites ON regexp_matches(a.diagnosis, pattern)"""
 VIEWS["site_wide"] = site_pivot("tagged_codes")
@@ -263,7 +262,7 @@ def _zero(columns: list[str]) -> list[str]:
 
 
 def _category_select() -> list[str]:
-    names = [name for name, _ in category_columns(WIDE_CATEGORIES)]
+    names = [name for name, _ in category_columns(CATEGORIES)]
     text = ("_earliest_date", "_diagnosis")
     return [
         f'"{c}"' if c.endswith(text) else f'coalesce("{c}", 0)::BIGINT AS "{c}"' for c in names
@@ -297,8 +296,7 @@ def _snapshot_select() -> list[str]:
         # Without a snapshot the cleaned category stays null.
         text = f"CASE WHEN s.{ID} IS NOT NULL THEN {blank(f's.{c}')} END"
         out.append(f"{text} AS phr_{c}_null_removed")
-        values = fixed.REGIONS if c == "nhs_region" else []
-        out += one_hot(f"({text})", f"phr_{c}_null_removed", values)
+        out += one_hot(f"({text})", f"phr_{c}_null_removed", CATEGORY_VALUES[c])
     return out
 
 
@@ -307,14 +305,9 @@ def _person_select() -> list[str]:
     for c in fixed.PERSON_BOOLEANS:
         out.append(f"{tristate(c)} AS {c}_null_removed")
         out += one_hot(f"({tristate(c)})", f"{c}_null_removed", fixed.TRISTATE)
-    values = {
-        "gender": fixed.GENDERS,
-        "ethnicity_code": fixed.ETHNICITIES,
-        "imd_decile": fixed.DECILES,
-    }
     for c in fixed.PERSON_CATEGORIES:
         out.append(f"{blank(c)} AS {c}_null_removed")
-        out += one_hot(f"({blank(c)})", f"{c}_null_removed", values.get(c, []))
+        out += one_hot(f"({blank(c)})", f"{c}_null_removed", CATEGORY_VALUES[c])
     return out
 
 

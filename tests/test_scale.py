@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 import naive
 import pytest
 from conftest import plan_of, same_rows
@@ -19,7 +21,7 @@ from cohortal.operators.summary import (
     spans_around,
     spans_on_side,
 )
-from cohortal.plans import features
+from cohortal.plans import codes, features
 from cohortal.sources.tables import read_table, stage, write_table
 from registry import adapters
 
@@ -115,7 +117,7 @@ def test_hot_keys_finds_the_heavy_ones(spark):
         "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else cast(id as string) end as k"
     )
     found = joins.hot_keys(df, "k")
-    assert "hot" in found and len(found) <= 1 / joins.HOT_SHARE
+    assert "hot" in found and len(found) <= joins.shuffle_partitions(df)
     assert joins.hot_keys(df.limit(0), "k") == []
 
 
@@ -156,6 +158,37 @@ def test_salting_spreads_the_hot_key(spark, hot_left, right):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_null_keys_take_an_even_share(spark):
+    """Nine of ten rows have no key; each task gets as much as the input partitions give."""
+    left = spark.range(0, 40_000, 1, 32).selectExpr(
+        "id", "case when id % 10 = 0 then cast(id as string) end as k"
+    )
+    right = spark.range(0, 40_000, 20).selectExpr("cast(id as string) as key", "id as v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.salted_left_join(left, right, "k", "key", unique_left=True)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) <= 3 * 40_000 / len(sizes)
+        assert joined.count() == 40_000 and joined.where("v is not null").count() == 2_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_combined_codes_use_a_hash_distinct(spark):
+    """No column beyond the four is carried, so nothing is sorted to remove repeats."""
+    events = spark.createDataFrame(
+        [("a", "1", date(2020, 1, 1), "C50", "Inpatient")],
+        f"{ID} string, activity_id string, date date, diagnosis string, source string",
+    )
+    reference = spark.createDataFrame(
+        [("C50", "C00-C79", None)], "alt_code string, category_3_code string, effective_to date"
+    )
+    plan = plan_of(codes.combined_codes(events, events, events, reference, CFG))
+    assert "SortAggregate" not in plan
+
+
 def test_lookup_broadcasts_only_what_it_measured(spark, hot_left, right):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
