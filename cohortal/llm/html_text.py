@@ -92,10 +92,17 @@ def _end(open_: list[Node], names: tuple[str, ...], barrier: tuple[str, ...]) ->
 
 
 def _end_one(open_: list[Node], name: str, barrier: tuple[str, ...]) -> None:
+    """Close the innermost element of that name and what is open inside it. An inline end
+    tag closes no block: the blocks inside stay open."""
+    block = False
     for i in range(len(open_) - 1, 0, -1):
         if open_[i].name == name:
-            del open_[i:]
+            if block and name not in BLOCKS:
+                del open_[i]
+            else:
+                del open_[i:]
             return
+        block = block or open_[i].name in BLOCKS
         if open_[i].name in barrier:
             return
 
@@ -277,7 +284,7 @@ class Renderer:
             page.block(False)
             for line in _aligned(self.tables.pop()):
                 page.open.append(line)
-                page.end_line()
+                page.end_line(even_empty=True)
             page.block(True)
         elif name in BLOCKS:
             nested = name in ("ul", "ol") and len(self.lists) > 1
