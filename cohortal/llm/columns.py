@@ -33,6 +33,18 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def hashed_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, those whose ``key`` has the lowest hashes.
+
+    A first cut by the number of rows leaves few more than are wanted, however many
+    partitions there are; only these are sorted. The choice depends on the rows alone.
+    """
+    share = min(1.0, 4 * most / max(1, df.count()))
+    drawn = F.xxhash64(key)
+    low = F.pmod(drawn, F.lit(2**30)) <= int(share * 2**30)
+    return df.where(low).orderBy(F.pmod(drawn, F.lit(2**30)), key).limit(most)
+
+
 def running_total(
     df: DataFrame, key: str, chunk: str, order: list[str], value: str, out: str
 ) -> DataFrame:

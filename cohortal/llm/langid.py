@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortal.llm.columns import hashed_sample
+
 STRETCH = 64
 HIDDEN = 8
 MOST_ROWS = 4_000
@@ -244,13 +246,9 @@ def train(docs: DataFrame, learn: Column, *, most: int = MOST_ROWS) -> Network:
             F.col("text"), (i * space / last).cast("int") + 1, F.lit(STRETCH)
         ),
     )
-    sample = (
-        usable.select(F.xxhash64("text").alias("key"), "lang", picked.alias("parts"))
-        .orderBy("key", "lang")
-        .limit(most)
-        .collect()
-    )
-    return fit([(part, r["lang"]) for r in sample for part in r["parts"]])
+    sample = hashed_sample(usable.select("text", "lang"), "text", most)
+    rows = sample.select("lang", picked.alias("parts")).collect()
+    return fit([(part, r["lang"]) for r in rows for part in r["parts"]])
 
 
 def identify(docs: DataFrame, net: Network) -> DataFrame:

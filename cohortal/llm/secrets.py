@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortal.llm.columns import whole_text
+from cohortal.llm.columns import hashed_sample, whole_text
 
 # Fixed patterns. A match counts only if its value is long enough, see ``found_spans``.
 ASSIGN = (
@@ -58,7 +58,7 @@ def _steps(text: Column) -> Column:
 def labelled_strings(docs: DataFrame, most: int = MOST_DOCUMENTS) -> DataFrame:
     """``value`` and ``random`` from the ``most`` documents of the lowest hashes."""
     text = F.col("text")
-    sample = docs.select("text").orderBy(F.xxhash64("text")).limit(most)
+    sample = hashed_sample(docs.select("text").where("text IS NOT NULL"), "text", most)
     values = F.concat(
         F.filter(
             F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)),
@@ -75,7 +75,7 @@ def labelled_strings(docs: DataFrame, most: int = MOST_DOCUMENTS) -> DataFrame:
         F.struct(F.lit(True).alias("random"), values.alias("values")),
         F.struct(F.lit(False).alias("random"), words.alias("values")),
     )
-    rows = sample.where("text IS NOT NULL").select(F.explode(both).alias("s"))
+    rows = sample.select(F.explode(both).alias("s"))
     return rows.select("s.random", F.explode("s.values").alias("value"))
 
 

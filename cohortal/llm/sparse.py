@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortal.llm.columns import hashed_sample
+
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int) -> DataFrame:
     """doc_id, text and ``target`` of at most ``most`` labelled documents.
@@ -14,12 +16,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int)
     sample's ids are at most ``most`` rows of two numbers and are broadcast.
     """
     rows = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull())
-    chosen = (
-        rows.groupBy("doc_id")
-        .agg(F.max(target).alias(target))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(most)
-    )
+    chosen = hashed_sample(rows.groupBy("doc_id").agg(F.max(target).alias(target)), "doc_id", most)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
