@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+from texts import EDGES, SCHEMA, SF, documents, table
+
+from cohortal.llm import ordinal, registry
+from cohortal.llm.sparse import Sparse
+
+
+def test_thresholds_are_ordered_and_grades_recovered():
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, 60, 12)) for _ in range(3000)]
+    weight = np.where(np.arange(60) < 10, -2.0, np.where(np.arange(60) < 20, 2.0, 0.0))
+    latent = np.array([weight[r].sum() for r in rows]) + rng.logistic(0, 0.3, 3000)
+    grades = np.digitize(latent, [-3, 0, 3])
+    model = ordinal.fit(Sparse(rows[:2000]), grades[:2000], 4)
+    assert (np.diff(model.thresholds) > 0).all()
+    weights = np.zeros(ordinal.BUCKETS)
+    weights[model.buckets] = model.weights
+    tails = model.tails(np.array([weights[r].sum() for r in rows[2000:]]))
+    assert (np.diff(tails, axis=1) <= 0).all()
+    expected = tails.sum(axis=1)
+    assert np.corrcoef(expected, grades[2000:])[0, 1] > 0.85
+
+
+def test_held_out_grades(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    aside = F.xxhash64("doc_id", F.lit(1)) % 3 == 0
+    model = ordinal.train(docs, ordinal.driver_ratings(labels.where(~aside)))
+    tested = docs.join(labels.where(aside), "doc_id")
+    rows = ordinal.grade(tested, model).select("quality", "toxic", "kept").collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1 and not r["toxic"]]
+    bad = [r["kept"] for r in rows if r["quality"] == 0]
+    toxic = [r["kept"] for r in rows if r["toxic"]]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.05 and np.mean(toxic) < 0.25
+
+
+def test_query_grades_every_document(spark):
+    rows = registry.QUERIES["op1_ordinal_quality"](spark, SF).collect()
+    assert len(rows) == table(spark, "documents").count()
+    for r in rows:
+        assert 0 <= r["tail_probability"] <= 1 and 0 <= r["expected_grade"] <= 2
+        assert r["kept"] == (r["tail_probability"] >= 0.5)
+
+
+def test_edge_rows(spark):
+    docs = documents(spark, EDGES).withColumn("kept", F.lit("theirs"))
+    none = spark.createDataFrame([], "doc_id bigint, grade int")
+    model = ordinal.train(docs, none)
+    out = ordinal.grade(docs, model).collect()
+    assert len(out) == len(EDGES) and all(r["kept"] is True for r in out)
+    some = spark.createDataFrame([(1, 0), (4, 1), (4, 1), (9, None), (None, 1)], none.schema)
+    model = ordinal.train(docs, some)
+    out = ordinal.grade(docs, model).collect()
+    assert len(out) == len(EDGES)
+    assert len({r["tail_probability"] for r in out if r["doc_id"] == 8}) == 1
+    assert ordinal.grade(spark.createDataFrame([], SCHEMA), model).count() == 0

@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from texts import EDGES, SCHEMA, SF, documents, table
+from tokenizers import Tokenizer
+
+from cohortal.llm import packing, registry
+
+JSON = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def plain():
+    return Tokenizer.from_file(JSON)
+
+
+def encoded(plain, text):
+    ids = plain.encode(text or "", add_special_tokens=False).ids
+    return np.array([*ids, 0], dtype="<u4")
+
+
+@pytest.mark.parametrize("ranks", [None, RANKS])
+def test_words_give_the_ids_of_the_whole_text(plain, ranks):
+    words = packing.WordTokenizer(JSON, ranks)
+    rng = random.Random(4)
+    parts = [" ", "  ", "\n", "\t", "\x1c", " ", "　", "a", "it's", "Ünï", "12", "!?", "日本",
+             "don't", "\U0001f600", "́", "x" * 30, "_", "ſ", " a", "é "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(1500)]
+    for text in texts + [t for _, t in EDGES if t]:
+        assert words.ids(text).tolist() == encoded(plain, text)[:-1].tolist(), repr(text)
+
+
+def test_special_tokens_in_a_text_are_text():
+    words = packing.WordTokenizer(JSON, RANKS)
+    assert 50256 not in words.ids("a <|endoftext|> b").tolist()
+
+
+def test_packer_takes_the_fullest_bin_that_fits():
+    packer = packing.Packer(10, 2, 0)
+    assert [packer.put(n) for n in (6, 5, 4, 5)] == [(0, 0), (1, 0), (0, 6), (1, 5)]
+    assert packer.put(9) == (2, 0) and packer.put(8) == (3, 0)
+    # Two bins are open with 1 and 2 left; a third closes the fullest.
+    assert packer.put(7) == (4, 0)
+    assert packer.put(1) == (3, 8) and packer.put(3) == (4, 7)
+
+
+def test_only_the_first_piece_is_shorter():
+    assert packing.cut(3, 4) == [(0, 3)] and packing.cut(4, 4) == [(0, 4)]
+    assert packing.cut(9, 4) == [(0, 1), (1, 4), (5, 4)] and packing.cut(8, 4) == [(0, 4), (4, 4)]
+
+
+def check(plain, rows, texts):
+    by_doc: dict = {}
+    bins: dict = {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in bins.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    for key, text in texts.items():
+        ids = encoded(plain, text)
+        pieces = sorted(by_doc.pop(key), key=lambda r: r["piece"])
+        assert [(r["start"], r["length"]) for r in pieces] == packing.cut(len(ids), 2048)
+        for r in pieces:
+            assert r["ids_crc32"] == zlib.crc32(ids[r["start"] :][: r["length"]].tobytes())
+    assert not by_doc
+    return len(bins)
+
+
+def test_query_against_the_tokenizer(spark, plain):
+    rows = registry.QUERIES["op3_best_fit_packing"](spark, SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
+    used = check(plain, rows, texts)
+    assert used <= 1.02 * sum(r["length"] for r in rows) / 2048 + 1
+
+
+def test_edge_rows(spark, plain):
+    from pyspark.sql import functions as F
+
+    single = [(i, t) for i, t in EDGES if i != 8]
+    out = packing.pack(documents(spark, single), JSON, RANKS)
+    rows = out.withColumn("ids_crc32", F.crc32("ids")).collect()
+    check(plain, rows, dict(single))
+    twice = packing.pack(documents(spark, [(8, "again"), (8, "again")]), JSON).collect()
+    assert len(twice) == 2
+    assert packing.pack(spark.createDataFrame([], SCHEMA), JSON).count() == 0
