@@ -98,17 +98,8 @@ def _told_apart(chunked, distinct, shared, chunk_hash) -> DataFrame:
     )
 
 
-def exact_groups(
-    docs: DataFrame,
-    chunk_hash: Callable[[Column], Column] = hash_of,
-    *,
-    with_text: bool = False,
-) -> DataFrame:
-    """Every document with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
-
-    The other columns of ``docs`` come along, the text only if asked for.
-    """
-    marked = recipes(docs.drop("keep_id", "group_size", "kept"), chunk_hash)
+def _judged(marked: DataFrame) -> DataFrame:
+    """The rows of ``recipes`` without chunks, with ``keep_id``, ``group_size``, ``kept``."""
     # A written table: the join below then shuffles both sides, so that adaptive
     # execution can split the recipe of a large group.
     groups = stage(
@@ -123,8 +114,6 @@ def exact_groups(
         ),
         "groups",
     )
-    if with_text:
-        marked = marked.withColumn("text", F.array_join("chunks", ""))
     alone = F.col("keep_row").isNull()
     return (
         marked.drop("chunks")
@@ -136,10 +125,33 @@ def exact_groups(
                 "kept": alone | (F.col("keep_row") == F.col("row")),
             }
         )
-        .drop("recipe", "row", "keep_row")
     )
 
 
+def exact_groups(
+    docs: DataFrame, chunk_hash: Callable[[Column], Column] = hash_of
+) -> DataFrame:
+    """Every document with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
+
+    The other columns of ``docs`` but the text come along; those that have one of these
+    names, or row, chunks, recipe or keep_row, are replaced or left out.
+    """
+    named = docs.drop("keep_id", "group_size", "kept", "keep_row")
+    return _judged(recipes(named, chunk_hash)).drop("recipe", "row", "keep_row")
+
+
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their columns and texts unchanged."""
-    return exact_groups(docs, with_text=True).where("kept").select(*docs.columns)
+    """The documents that stay, with their columns and texts unchanged.
+
+    Decisions are made on recipes. Texts are put together from their chunks and meet only
+    the list of rows that go, which Spark broadcasts where its written size is small.
+    """
+    others = [c for c in docs.columns if c.lower() not in ("doc_id", "text")]
+    rest = F.struct(*others) if others else F.lit(0)
+    marked = recipes(docs.select("doc_id", "text", rest.alias("rest")))
+    gone = _judged(marked.select("doc_id", "row", "recipe")).where("not kept").select("row")
+    kept = marked.withColumn("text", F.array_join("chunks", "")).join(
+        stage(gone, "gone"), "row", "left_anti"
+    )
+    columns = [F.col(f"rest.`{c}`") if c in others else F.col(c) for c in docs.columns]
+    return kept.select(*columns)
