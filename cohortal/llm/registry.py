@@ -82,8 +82,8 @@ def op6(spark, sf):
 
 @query("op3_best_fit_packing")
 def op3(spark, sf):
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = packing.pack(table(spark, sf, "documents"), path)
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    pieces = packing.pack(table(spark, sf, "documents"), *files)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

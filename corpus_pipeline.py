@@ -10,7 +10,7 @@ from cohortal.llm import exact_dedup, mixing, near_dedup, ordinal, packing
 from cohortal.llm.workers import importable
 from cohortal.sources.tables import stage
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in sequences of 2,048 tokens."""
     importable(spark)
-    pieces = packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    pieces = packing.pack(docs, *map(public_tokenizers.path, TOKENIZER))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
