@@ -282,7 +282,10 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
             langs, scores, maps = [], [], []
             for group in groups(batch.column(batch.schema.get_field_index("text"))):
                 lettered = [bool(net.langs) and bool(LETTER.search(t)) for t in group]
-                raw = [t.encode("utf-8", "surrogatepass") if ok else b"" for t, ok in zip(group, lettered)]
+                raw = [
+                    t.encode("utf-8", "surrogatepass") if ok else b""
+                    for t, ok in zip(group, lettered)
+                ]
                 sums, places = reader.documents(raw) if any(lettered) else (None, None)
                 for i, ok in enumerate(lettered):
                     if not ok:

@@ -128,15 +128,9 @@ def mix(
         "sid", "chunk", ["key", "row"], "size", "start",
     )
     end = F.col("start") + F.col("size")
+    first, last = F.floor(F.col("start") / block), F.floor((end - 1) / block)
     pieces = (
-        lines.withColumn(
-            "at",
-            F.explode(
-                F.sequence(
-                    F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
-                )
-            ),
-        )
+        lines.withColumn("at", F.explode(F.sequence(first, last)))
         .withColumn("begin", F.greatest("start", F.col("at") * block))
         .select(
             "sid", "at", "row",
@@ -145,8 +139,8 @@ def mix(
         )
     )
 
-    n = round(sum(wanted) / block)
-    slots = _points(spark.range(n).withColumnRenamed("id", "slot"), [float(w) for w in wanted] or [1.0])
+    slots = spark.range(round(sum(wanted) / block)).withColumnRenamed("id", "slot")
+    slots = _points(slots, [float(w) for w in wanted] or [1.0])
     ranked = running_total(
         slots.withColumns({"chunk": F.floor(F.col("slot") / CHUNK_ROWS), "one": F.lit(1)}),
         "sid", "chunk", ["slot"], "one", "rank",
