@@ -36,21 +36,36 @@ def staging_folder(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get(WAREHOUSE_DIR)}/cohortal_staged").rstrip("/")
 
 
-@contextmanager
-def staged_run(spark: SparkSession) -> Iterator[str]:
-    """Keep all tables staged inside the block in one folder, and remove it at the end.
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of staged tables, wherever the cluster keeps it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    For callers that write their results within the block; a table read later would miss
-    its staged inputs.
-    """
+
+@contextmanager
+def one_folder(spark: SparkSession) -> Iterator[str]:
+    """Keep all tables staged inside the block in one folder. Whoever knows when the last
+    of them has been read removes it."""
     folder = f"{staging_folder(spark)}/cohortal-{uuid.uuid4().hex}"
     token = _RUN_FOLDER.set(folder)
     try:
         yield folder
     finally:
         _RUN_FOLDER.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[str]:
+    """As ``one_folder``, and remove the folder at the end.
+
+    For callers that write their results within the block; a table read later would miss
+    its staged inputs.
+    """
+    with one_folder(spark) as folder:
+        try:
+            yield folder
+        finally:
+            remove_folder(spark, folder)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
