@@ -51,10 +51,16 @@ def best_mapping(fallback: DataFrame) -> DataFrame:
 
 
 def emergency_code_map(code_map: DataFrame, fallback: DataFrame) -> DataFrame:
-    """Emergency code map with missing target codes taken from the fallback map."""
+    """Emergency code map with missing target codes taken from the fallback map.
+
+    Only the fallback rows of codes without a target are ranked.
+    """
+    key = "Referenced_Component_ID"
+    unmapped = code_map.where(F.col("ICD10_Mapping").isNull())
+    unmapped = unmapped.select(F.col("SNOMED_Code").alias(key))
     filled = fill_from_fallback(
         code_map,
-        best_mapping(fallback),
+        best_mapping(fallback.join(unmapped, key, "left_semi")),
         key="SNOMED_Code",
         value="ICD10_Mapping",
         fallback_key="Referenced_Component_ID",
