@@ -8,8 +8,9 @@
    compared on its full sets.
 3. Buckets whose classes are not yet in one component are settled exactly: two sets with
    the wanted similarity must share one of the rarest quarter of their shingles, so only
-   classes of different components that share one are compared. A passage or line that
-   very many documents have is among the rarest of none of them, so it makes no pairs.
+   classes of different components that share one are compared. Where these are common
+   shingles, as of a passage that very many documents have, a class is compared with one
+   class for each set of common shingles, which is enough to find all components.
 
 At a similarity of exactly 0.75, a pair shares no bucket with probability 3e-7.
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +40,8 @@ NUMERATOR, DENOMINATOR = 75, 100
 # similarity of 0.75 the estimate falls there with a probability under 1e-9.
 ESTIMATE_FROM = 0.5
 ESTIMATE_SIZE = 2 * S.REGISTERS
+# A shingle of more classes than this is common; see _settling_pairs.
+COMMON = 32
 TEXT_KEY = "xxhash64(text)"
 
 
@@ -145,41 +148,94 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _settling_pairs(open_classes: DataFrame) -> DataFrame:
-    """Pairs of classes with different labels that share one of their rarest shingles.
+def _prefix(rows: DataFrame, counts: DataFrame, owner: str, size: str = "n") -> DataFrame:
+    """The rarest of each set's ``size`` listed shingles, all but ceil(0.75 n) - 1 of them.
 
-    Of a set of n shingles the rarest n - ceil(0.75 n) + 1 suffice. Frequencies are
-    counted among the given classes; ties go by the hash, the same way for all.
+    Two sets of which the listed shingles alone make up the wanted similarity share one of
+    these. Ties of the counts go by the hash, the same way for all.
+    """
+    order = Window.partitionBy(owner).orderBy("sets", "shingle")
+    least = F.floor((F.col("n") * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR)
+    ranked = rows.join(counts, "shingle").withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= F.col(size) - least + 1)
+
+
+def _sharing(rare: DataFrame, owner: str, wanted: Column) -> DataFrame:
+    """Pairs (a, b) of sets of similar size that share a shingle of ``rare``, if ``wanted``."""
+    x, y = rare.alias("x"), rare.alias("y")
+    similar_size = F.least("x.n", "y.n") * DENOMINATOR >= F.greatest("x.n", "y.n") * NUMERATOR
+    once = F.col(f"x.{owner}") < F.col(f"y.{owner}")
+    on = (F.col("x.shingle") == F.col("y.shingle")) & once & similar_size & wanted
+    return (
+        x.join(y, on)
+        .select(F.col(f"x.{owner}").alias("a"), F.col(f"y.{owner}").alias("b"))
+        .distinct()
+    )
+
+
+def _settling_pairs(open_classes: DataFrame) -> DataFrame:
+    """Pairs of classes that join all components which the given classes can join.
+
+    A pair that is similar enough shares a shingle of both prefixes. If it shares one that
+    at most ``COMMON`` classes have, it is found there. If not, all it shares is common
+    shingles. Then only the two sets of common shingles and the two sizes decide, and of
+    all classes with the same set of common shingles the smallest is linked with whatever
+    any of them is linked with in this way. So each class is compared with the smallest
+    class of its own set and of the sets similar to it, not with all that share a passage.
     """
     schema = "node bigint, label bigint, n bigint, shingle bigint"
     rows = stage(
         open_classes.select("node", "label", "text").mapInArrow(_shingles, schema), "shingles"
     )
-    counts = stage(
-        rows.groupBy("shingle").agg(
-            F.count("*").alias("classes"),
-            (F.min("label") != F.max("label")).alias("mixed"),
-        ),
-        "counts",
+    mixed = (F.min("label") != F.max("label")).alias("mixed")
+    counts = stage(rows.groupBy("shingle").agg(F.count("*").alias("sets"), mixed), "counts")
+    rare = stage(_prefix(rows, counts, "node"), "rare")
+    different = F.col("x.label") != F.col("y.label")
+    few = rare.where((F.col("sets") <= COMMON) & F.col("mixed"))
+    found = _sharing(few.select("shingle", "node", "label", "n"), "node", different)
+
+    common = counts.where(F.col("sets") > COMMON).select("shingle")
+    mostly_common = rare.where(F.col("sets") > COMMON).select("node").distinct()
+    members = (
+        rows.join(mostly_common, "node", "left_semi")
+        .join(common, "shingle")
+        .groupBy("node", "label", "n")
+        .agg(F.sort_array(F.collect_list("shingle")).alias("common"))
     )
-    order = Window.partitionBy("node").orderBy("classes", "shingle")
-    n = F.col("n")
-    least = F.floor((n * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR)
-    rare = stage(
-        rows.join(counts, "shingle")
-        .withColumn("rank", F.row_number().over(order))
-        .where((F.col("rank") <= n - least + 1) & F.col("mixed"))
-        .select("shingle", "node", "label", "n"),
-        "rare",
+    members = stage(members, "members")
+    sets = stage(
+        members.groupBy("common")
+        .agg(F.min(F.struct("n", "node", "label")).alias("least"), mixed)
+        .select(F.monotonically_increasing_id().alias("set"), "common", "least", "mixed"),
+        "sets",
     )
-    x, y = rare.alias("x"), rare.alias("y")
-    similar_size = F.least("x.n", "y.n") * DENOMINATOR >= F.greatest("x.n", "y.n") * NUMERATOR
-    different = (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-    return (
-        x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & different & similar_size)
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
+    listed = stage(members.join(sets, "common").select("set", "node", "label"), "listed")
+    shared = stage(
+        sets.select(
+            "set", "mixed", "least.n", "least.label",
+            F.size("common").alias("size"), F.explode("common").alias("shingle"),
+        ),
+        "shared",
+    )
+    in_sets = stage(shared.groupBy("shingle").agg(F.count("*").alias("sets")), "in_sets")
+    # From the first shingle that two sets share on, enough must be left to make the
+    # smallest classes of both similar. Sets of one component need no comparison.
+    left = F.least(F.col("x.size") - F.col("x.rank"), F.col("y.size") - F.col("y.rank")) + 1
+    enough = left * (NUMERATOR + DENOMINATOR) >= (F.col("x.n") + F.col("y.n")) * NUMERATOR
+    useful = F.col("x.mixed") | F.col("y.mixed") | different
+    set_prefix = stage(_prefix(shared, in_sets, "set", "size"), "set_prefix")
+    alike = _sharing(set_prefix, "set", useful & enough)
+    own = sets.select(F.col("set").alias("a"), F.col("set").alias("b"))
+    both = alike.union(alike.select(F.col("b").alias("a"), F.col("a").alias("b"))).union(own)
+    towards = both.join(sets.select(F.col("set").alias("b"), "least"), "b")
+    to_least = (
+        listed.join(towards, F.col("set") == F.col("a"))
+        .where((F.col("node") != F.col("least.node")) & (F.col("label") != F.col("least.label")))
+        .select(
+            F.least("node", "least.node").alias("a"), F.greatest("node", "least.node").alias("b")
+        )
     )
+    return found.union(to_least).distinct()
 
 
 def near_components(docs: DataFrame) -> DataFrame:
