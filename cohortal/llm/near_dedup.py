@@ -225,11 +225,23 @@ def _settling_pairs(open_classes: DataFrame) -> DataFrame:
     useful = F.col("x.mixed") | F.col("y.mixed") | different
     set_prefix = stage(_prefix(shared, in_sets, "set", "size"), "set_prefix")
     alike = _sharing(set_prefix, "set", useful & enough)
-    own = sets.select(F.col("set").alias("a"), F.col("set").alias("b"))
-    both = alike.union(alike.select(F.col("b").alias("a"), F.col("a").alias("b"))).union(own)
-    towards = both.join(sets.select(F.col("set").alias("b"), "least"), "b")
+    # Of two such sets, the members of the one whose smallest class is larger meet the
+    # smallest class of the other. That class is also linked with those members of its own
+    # set that are linked with the other set, as no class of the other set is smaller.
+    smallest = sets.select("set", "least", F.col("least.n").alias("size_least"))
+    x, y = smallest.alias("x"), smallest.alias("y")
+    swapped = F.col("x.size_least") < F.col("y.size_least")
+    towards = (
+        alike.join(x, F.col("a") == F.col("x.set"))
+        .join(y, F.col("b") == F.col("y.set"))
+        .select(
+            F.when(swapped, F.col("b")).otherwise(F.col("a")).alias("set"),
+            F.when(swapped, F.col("x.least")).otherwise(F.col("y.least")).alias("least"),
+        )
+        .union(sets.select("set", "least"))
+    )
     to_least = (
-        listed.join(towards, F.col("set") == F.col("a"))
+        listed.join(towards, "set")
         .where((F.col("node") != F.col("least.node")) & (F.col("label") != F.col("least.label")))
         .select(
             F.least("node", "least.node").alias("a"), F.greatest("node", "least.node").alias("b")
