@@ -35,7 +35,7 @@ CLEAR = 4.0  # standard errors
 STEPS = 400
 PENALTY = 5e-5
 KEEP_FROM = 0.5
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
 MARKS = re.compile(r"[^\w\s]+(?=\s|$)")

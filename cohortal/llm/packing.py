@@ -30,7 +30,7 @@ CAPACITY = 2048
 OPEN_BINS = 1024
 BUFFER = 2000
 END_ID = 0
-WORDS_KEPT = 800_000
+WORDS_KEPT = 300_000
 LATIN = re.compile("[\x00-\u024f]*")
 
 

@@ -11,7 +11,7 @@ WIDTH = 5
 BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
 MANTISSA_BITS = 10
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 
 _rng = np.random.default_rng(20)
 _ODD = _rng.integers(0, 2**63, size=WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
