@@ -1,7 +1,7 @@
 """HTML extraction by layout: a small tree builder and a renderer of visible text.
 
 The tree builder knows void and raw-text elements, end tags that HTML lets authors leave
-out (p, li, dt, dd, option, table parts) and end tags that close what is open inside. The
+out (head, p, li, dt, dd, option, table parts) and end tags that close what is open inside. The
 renderer leaves out what a browser does not show (head, script, style, template, noscript
 and comments; ``hidden``, ``display:none``, ``visibility:hidden``; closed dialogs and all
 but the summary of closed details) and emits all other text: blocks on lines of their own,
@@ -32,13 +32,17 @@ INVISIBLE_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
+    "area base basefont bgsound br col embed hr img input link meta param source track wbr".split()
 )
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
     "head script style template noscript title meta link iframe noembed noframes "
     "datalist object audio video canvas".split()
 )
+# An open head ends at any other start tag, and at text that is not blank.
+IN_HEAD = frozenset(
+    "base basefont bgsound link meta noframes noscript script style template title".split()
+)
 SPACED = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split()
 )
@@ -46,6 +50,8 @@ BLOCKS = SPACED | frozenset(
     "html body address article aside center details dialog dd div dt figcaption footer form "
     "header hgroup legend li main nav optgroup option section summary caption".split()
 )
+# End tags that close the blocks open inside, too.
+CLOSERS = BLOCKS | {"head", "noscript", "template"}
 ENDS_P = (BLOCKS - frozenset("html body optgroup option caption legend".split())) | {"hr"}
 # A start tag ends the open elements on the left, as far as the barrier on the right.
 ENDS = {
@@ -97,7 +103,7 @@ def _end_one(open_: list[Node], name: str, barrier: tuple[str, ...]) -> None:
     block = False
     for i in range(len(open_) - 1, 0, -1):
         if open_[i].name == name:
-            if block and name not in BLOCKS:
+            if block and name not in CLOSERS:
                 del open_[i]
             else:
                 del open_[i:]
@@ -117,7 +123,10 @@ def build(html: str) -> Node:
         tag = TOKEN.search(html, at)
         text = html[at : tag.start() if tag else len(html)]
         if text:
-            open_[-1].children.append(unescape(text) if "&" in text else text)
+            text = unescape(text) if "&" in text else text
+            if open_[-1].name == "head" and text.strip(" \t\n\r\f"):
+                open_.pop()
+            open_[-1].children.append(text)
         if not tag:
             return root
         at = tag.end()
@@ -125,12 +134,16 @@ def build(html: str) -> Node:
         if name is None:
             ended = (tag["end"] or "").lower()
             if ended == "br":
+                if open_[-1].name == "head":
+                    open_.pop()
                 open_[-1].children.append(Node("br", {}))
             elif counts.get(ended):
                 _end_one(open_, ended, END_BARRIER.get(ended, ()))
             continue
         name = name.lower()
         counts[name] = counts.get(name, 0) + 1
+        if open_[-1].name == "head" and name not in IN_HEAD:
+            open_.pop()
         if name in ENDS_P and counts.get("p"):
             _end_one(open_, "p", P_BARRIER)
         if name in ENDS:

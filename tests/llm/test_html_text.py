@@ -33,6 +33,14 @@ CASES = [
     ("<dl><dt>t<dd>d<dt>u</dl>", "t\n  d\nu"),
     ("</p></div>a</li>", "a"),
     ("<td>lone</td>", "lone"),
+    ("<html><head><title>t</title><body><p>text", "text"),
+    ("<head><meta charset=x><title>t</title><p>a<p>b", "a\n\nb"),
+    ("<head/><title>t</title> <link rel=x>\n a &amp; <b>b</b>", "a & b"),
+    ("<head><script>s</script><style>p{}</style><bgsound src=x><noscript><div>n</noscript>"
+     "<template><div>m</template><body>a</body>", "a"),
+    ("<HEAD><title>t</title><head><h1>a</h1></head><div>b", "a\n\nb"),
+    ("<head><noscript><div>n</head><body>a", "a"),
+    ("<noscript><div>no</noscript>a", "a"),
 ]
 
 
