@@ -4,8 +4,10 @@ A text's UTF-8 bytes are read in stretches of ``STRETCH`` bytes, forwards and ba
 At each byte the two states give a probability for each language, so every position has a
 label; a document's probabilities are the means over all of its positions. The network is
 trained in numpy by backpropagation through time, on stretches spread over whole texts of
-at most ``MOST_ROWS`` documents. Only text and language are used, only of documents with
-both, and never of those that are held out. The languages are the ones in that sample.
+at most ``MOST_ROWS`` different (text, language) pairs, so copies count once. Each language
+has an equal quota of them, and what small ones leave goes to the others; all languages are
+in the sample, with one pair each if there are more of them than ``MOST_ROWS``. Only text
+and language are used, only of documents with both, and never of those that are held out.
 
 Null texts and texts without a letter are ``und`` with score 0 and no labelled position, as
 is every text if there is nothing to learn from. Repeated rows are labelled alike, ties go
@@ -20,12 +22,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortal.llm.columns import hashed_sample
-
 STRETCH = 64
 HIDDEN = 8
 MOST_ROWS = 4_000
@@ -36,6 +36,7 @@ RATE = 0.02
 BLOCK = 2048
 BYTES_AT_ONCE = 1 << 22
 UNKNOWN = "und"
+HASHES = 2**30
 
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -234,9 +235,22 @@ class Reader:
         return [self.net.langs[i] for i in best[: len(raw)]]
 
 
-def train(docs: DataFrame, learn: Column, *, most: int = MOST_ROWS) -> Network:
-    """Fit on the rows for which ``learn`` holds; their lowest hashes make the sample."""
-    usable = docs.where(learn & F.col("lang").isNotNull() & (F.length("text") > 0))
+def quota(pairs: list[int], most: int) -> int:
+    """The most pairs that each language can give for all to give ``most`` at most; 1 at
+    least."""
+    left, open_ = most, sorted(pairs)
+    while open_ and open_[0] * len(open_) <= left:
+        left -= open_.pop(0)
+    return max(1, left // len(open_)) if open_ else max(pairs, default=1)
+
+
+def training_pairs(docs: DataFrame, learn: Column, most: int) -> list[Row]:
+    """``lang`` and ``parts`` (stretches) of different pairs of a text and its language.
+
+    Each language gives those of its pairs that have the lowest hashes, as far as its quota.
+    A first cut by the estimated number of different pairs leaves few more than are wanted;
+    only these are gathered. Copies fall together before they are moved.
+    """
     space = F.greatest(F.lit(0), F.length("text") - STRETCH)
     starts = F.sequence(F.lit(0), F.lit(STRETCHES_PER_ROW - 1))
     last = STRETCHES_PER_ROW - 1
@@ -246,8 +260,42 @@ def train(docs: DataFrame, learn: Column, *, most: int = MOST_ROWS) -> Network:
             F.col("text"), (i * space / last).cast("int") + 1, F.lit(STRETCH)
         ),
     )
-    sample = hashed_sample(usable.select("text", "lang"), "text", most)
-    rows = sample.select("lang", picked.alias("parts")).collect()
+    drawn = F.xxhash64("text", "lang")
+    pairs = docs.where(learn & F.col("lang").isNotNull() & (F.length("text") > 0)).select(
+        "lang", "text", drawn.alias("drawn"), F.pmod(drawn, F.lit(HASHES)).alias("low")
+    )
+    counts = (
+        pairs.groupBy("lang")
+        .agg(F.approx_count_distinct("drawn").alias("pairs"), F.min("low").alias("low"))
+        .collect()
+    )
+    wanted = quota([r["pairs"] for r in counts], most)
+    # Enough of them for chance and for an estimate that is a fifth too high.
+    drawn_from = 1.2 * (wanted + 4 * wanted**0.5 + 8)
+    cuts = docs.sparkSession.createDataFrame(
+        [
+            (r["lang"], max(r["low"], int(min(1.0, drawn_from / r["pairs"]) * HASHES)))
+            for r in counts
+        ],
+        "_lang string, cut bigint",
+    )
+    found = (
+        pairs.join(F.broadcast(cuts), F.col("lang") == F.col("_lang"))
+        .where("low <= cut")
+        .select("lang", "low", "drawn", picked.alias("parts"))
+        .distinct()
+        .collect()
+    )
+    by_lang: dict[str, list[Row]] = {}
+    for row in sorted(found):
+        by_lang.setdefault(row["lang"], []).append(row)
+    level = quota([len(of_lang) for of_lang in by_lang.values()], most)
+    return [row for of_lang in by_lang.values() for row in of_lang[:level]]
+
+
+def train(docs: DataFrame, learn: Column, *, most: int = MOST_ROWS) -> Network:
+    """Fit on different texts of the rows for which ``learn`` holds."""
+    rows = training_pairs(docs, learn, most)
     return fit([(part, r["lang"]) for r in rows for part in r["parts"]])
 
 

@@ -78,3 +78,26 @@ def test_nothing_to_learn_from(spark):
     net = langid.train(docs, F.lit(True))
     assert net.langs == ("en",)
     assert {r["lang_pred"] for r in langid.identify(docs, net).collect()} == {"und", "en"}
+
+
+def test_sample_has_each_language_and_no_copies(spark):
+    texts = [(i, f"text number {i}") for i in range(300)]
+    hashed = documents(spark, texts).select("text", (F.xxhash64("text") % 2**30).alias("low"))
+    order = [r["text"] for r in hashed.orderBy(F.pmod("low", F.lit(2**30))).collect()]
+    docs = documents(spark, [(i, order[0]) for i in range(600)], lang="en")
+    docs = docs.union(documents(spark, list(enumerate(order[1:299])), lang="de"))
+    docs = docs.union(documents(spark, [(999, order[299])], lang="fr"))
+    assert langid.train(docs, F.lit(True), most=50).langs == ("de", "en", "fr")
+    rows = langid.training_pairs(docs, F.lit(True), 50)
+    assert sorted(r["lang"] for r in rows) == ["de"] * 48 + ["en", "fr"]
+    assert len({tuple(r["parts"]) for r in rows}) == 50
+    assert rows == langid.training_pairs(docs.repartition(7), F.lit(True), 50)
+    # More languages than rows: one pair of each.
+    many = documents(spark, texts).withColumn("lang", F.col("doc_id").cast("string"))
+    assert len(langid.training_pairs(many, F.lit(True), 50)) == 300
+
+
+def test_quotas():
+    assert langid.quota([5, 100, 200], 65) == 30
+    assert langid.quota([5, 6], 100) == 6 and langid.quota([], 9) == 1
+    assert langid.quota([9] * 20, 10) == 1
