@@ -1,11 +1,15 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
 The mix is a row of slots, each one block of ``block`` words. Slot i takes the point
-frac(i / golden ratio), which falls into one source's interval of the cumulative target
-shares; its rank among that source's slots names the source's block. A source's blocks
+frac(i / golden ratio), which falls into one source's interval of the cumulative shares
+of slots; its rank among that source's slots names the source's block. A source's blocks
 are cut from its documents in hashed order, laid end to end. The points spread so evenly
 that each source gets its share of any stretch of the mix to within a few slots.
 
+Each source has the slots that its target needs by its blocks as they are, of which the
+last in its line may be short, and its last slot is cut to the words still wanted: it gives
+its target to the word. Points beyond a source's slots go to the sources left short.
+
 Sources weigh 3, 1, 2, repeating, in code-point order with null last, unless weights are
 given. A source's target stops at ``most`` times its own size, and the excess is shared
 out by weight among the rest until no source is above. Null and blank texts have size 0
@@ -60,7 +64,19 @@ def targets(sizes: list[int], weights: list[int], share: Fraction, most: int) ->
     return out
 
 
-def _points(slots: DataFrame, shares: list[float]) -> DataFrame:
+def needed(target: Fraction, size: int, block: int) -> tuple[int, int]:
+    """Slots that give a source of ``size`` words its target, and the words of the last."""
+    if not size:
+        return 0, 0
+    laps, rest = divmod(round(target), size)
+    blocks = -(-size // block)
+    if not rest:
+        return laps * blocks, block
+    part = -(-rest // block)
+    return laps * blocks + part, rest - (part - 1) * block
+
+
+def _points(slots: DataFrame, shares: list[int]) -> DataFrame:
     """The source number of each slot: its golden-ratio point in the cumulative shares."""
     edges = np.cumsum(shares)
 
@@ -75,6 +91,39 @@ def _points(slots: DataFrame, shares: list[float]) -> DataFrame:
     return slots.withColumn("sid", source_at("slot"))
 
 
+def _exact(ranked: DataFrame, counts: list[int]) -> DataFrame:
+    """The slots with each source's ranks as its count: ranks beyond go to sources that are
+    short, in order. Golden-ratio points leave few of them for each source."""
+    found = {
+        r["sid"]: (r["points"], r["beyond"])
+        for r in ranked.join(
+            F.broadcast(
+                ranked.sparkSession.createDataFrame(
+                    list(enumerate(counts)), "_sid int, wanted bigint"
+                )
+            ),
+            F.col("sid") == F.col("_sid"),
+        )
+        .groupBy("sid")
+        .agg(
+            F.count("*").alias("points"),
+            F.collect_list(F.when(F.col("rank") >= F.col("wanted"), F.col("slot"))).alias("beyond"),
+        )
+        .collect()
+    }
+    short = [
+        (sid, rank)
+        for sid, wanted in enumerate(counts)
+        for rank in range(found.get(sid, (0, []))[0], wanted)
+    ]
+    beyond = sorted(slot for _, slots in found.values() for slot in slots)
+    moved = ranked.sparkSession.createDataFrame(
+        [(slot, sid, rank) for slot, (sid, rank) in zip(beyond, short)],
+        "slot bigint, sid int, rank bigint",
+    )
+    return ranked.select("slot", "sid", "rank").union(moved)
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -106,17 +155,19 @@ def mix(
     ]
     words = [totals[s][0] for s in order]
     wanted = targets(words, weigh, share, most)
+    slots_of = [needed(wanted[i], words[i], block) for i in range(len(order))]
     sources = spark.createDataFrame(
         [
-            (i, s, words[i], float(wanted[i]), -(-words[i] // block))
+            (i, s, words[i], float(wanted[i]), -(-words[i] // block), *slots_of[i])
             for i, s in enumerate(order)
         ],
-        "sid int, source string, source_size bigint, target double, blocks bigint",
+        "sid int, source string, source_size bigint, target double, blocks bigint, "
+        "slots bigint, last bigint",
     )
     documents = sized.join(
         sources.withColumnRenamed("source", "_source"),
         F.col("source").eqNullSafe(F.col("_source")),
-    ).drop("_source", "blocks")
+    ).drop("_source", "blocks", "slots", "last")
 
     # Documents on their source's line of words, in hashed order.
     chunks = max(1, sum(t[1] for t in totals.values()) // CHUNK_ROWS)
@@ -134,27 +185,38 @@ def mix(
         .withColumn("begin", F.greatest("start", F.col("at") * block))
         .select(
             "sid", "at", "row",
+            (F.col("begin") - F.col("at") * block).alias("inside"),
             (F.col("begin") - F.col("start")).alias("first"),
             (F.least(end, (F.col("at") + 1) * block) - F.col("begin")).alias("words"),
         )
     )
 
-    slots = spark.range(round(sum(wanted) / block)).withColumnRenamed("id", "slot")
-    slots = _points(slots, [float(w) for w in wanted] or [1.0])
+    counts = [n for n, _ in slots_of]
+    slots = spark.range(sum(counts)).withColumnRenamed("id", "slot")
+    slots = _points(slots, counts or [1])
     ranked = running_total(
         slots.withColumns({"chunk": F.floor(F.col("slot") / CHUNK_ROWS), "one": F.lit(1)}),
         "sid", "chunk", ["slot"], "one", "rank",
     )
     laps = (
-        ranked.join(sources.select("sid", "blocks"), "sid")
-        .where(F.col("rank") < most * F.col("blocks"))
+        _exact(ranked, counts)
+        .join(sources.select("sid", "blocks", "slots", "last"), "sid")
+        .where(F.col("rank") < F.col("slots"))
         .select(
             "sid", "slot",
             F.floor(F.col("rank") / F.col("blocks")).alias("lap"),
             (F.col("rank") % F.col("blocks")).alias("at"),
+            F.when(F.col("rank") == F.col("slots") - 1, F.col("last"))
+            .otherwise(block)
+            .alias("room"),
         )
     )
-    schedule = pieces.join(laps, ["sid", "at"]).select("slot", "lap", "row", "first", "words")
+    schedule = (
+        pieces.join(laps, ["sid", "at"])
+        .where("inside < room")
+        .withColumn("words", F.least("words", F.col("room") - F.col("inside")))
+        .select("slot", "lap", "row", "first", "words")
+    )
     return Mix(documents.drop("sid"), schedule)
 
 

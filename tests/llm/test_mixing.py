@@ -87,3 +87,24 @@ def test_documents_of_the_mix_have_the_words_taken(spark):
     expected = {r["doc_id"]: r["taken"] for r in mixing.taken_words(mixing.mix(docs)).collect()}
     total = sum(expected.values())
     assert abs(sum(got.values()) - total) <= 0.01 * total
+
+
+def test_small_sources_reach_their_targets(spark):
+    sizes = {"a": [9000, 40], "b": [30], "c": [100], "d": [1, 1, 5], "e": [64], "f": [129, 70]}
+    sizes |= {f"s{i:03}": [1 + 7 * i % 150] for i in range(60)}
+    docs = documents(spark, [])
+    for k, (source, lengths) in enumerate(sizes.items()):
+        texts = [(100 * k + i, "w " * n) for i, n in enumerate(lengths)]
+        docs = docs.union(documents(spark, texts, source=source)).coalesce(2)
+    for share in (Fraction(3, 2), Fraction(1, 2)):
+        mixed = mixing.mix(docs, share=share)
+        taken: dict = {}
+        for r in mixing.taken_words(mixed).collect():
+            assert r["taken"] <= 2 * r["size"]
+            words, target = taken.get(r["source"], (0, r["target"]))
+            taken[r["source"]] = (words + r["taken"], target)
+        assert len(taken) == len(sizes)
+        for words, target in taken.values():
+            assert abs(words - target) <= 0.5
+    slots = {r["slot"] for r in mixed.schedule.collect()}
+    assert slots == set(range(len(slots)))
