@@ -39,17 +39,20 @@ class WordTokenizer:
 
     Its splitting rule always cuts before a single space between two visible characters.
     Parts between such spaces are therefore tokenized one by one, and a part seen before
-    is looked up. Special tokens written in a text are ordinary text.
+    is looked up. Special tokens written in a text are ordinary text, or with ``added`` the
+    tokens that the tokenizer's own call makes of them.
 
     With a file of the same vocabulary as ranks, new parts in Latin script are encoded by
     the faster reader of such files, which gives the same ids.
     """
 
-    def __init__(self, path: str, ranks_path: str | None = None):
+    def __init__(self, path: str, ranks_path: str | None = None, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
+        self.added = [t.content for t in tokens]
         self.known: dict[str, tuple[int, ...]] = {}
         self.latin = _rank_encoding(ranks_path) if ranks_path else None
 
@@ -65,6 +68,8 @@ class WordTokenizer:
         return [tuple(e.ids) for e in found]
 
     def ids(self, text: str) -> np.ndarray:
+        if any(token in text for token in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         parts = text.split(" ")
         first, rest = parts[0], parts[1:]
         if (not first and rest) or first[-1:].isspace():
@@ -98,7 +103,7 @@ def _rank_encoding(path: str):
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str, ranks_path: str | None) -> WordTokenizer:
-    return WordTokenizer(path, ranks_path)
+    return WordTokenizer(path, ranks_path, added=True)
 
 
 class Packer:

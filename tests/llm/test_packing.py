@@ -94,3 +94,12 @@ def test_edge_rows(spark, plain):
     twice = packing.pack(documents(spark, [(8, "again"), (8, "again")]), JSON).collect()
     assert len(twice) == 2
     assert packing.pack(spark.createDataFrame([], SCHEMA), JSON).count() == 0
+
+
+@pytest.mark.parametrize("ranks", [None, RANKS])
+def test_packed_ids_of_written_special_tokens(spark, plain, ranks):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  z", "<|endoftext| >"]
+    out = packing.pack(documents(spark, list(enumerate(texts))), JSON, ranks).collect()
+    assert sum(50256 in np.frombuffer(r["ids"], "<u4") for r in out) == 3
+    for r in out:
+        assert r["ids"] == encoded(plain, texts[r["doc_id"]]).tobytes()
