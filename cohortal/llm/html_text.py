@@ -1,12 +1,13 @@
 """HTML extraction by layout: a small tree builder and a renderer of visible text.
 
 The tree builder knows void and raw-text elements, end tags that HTML lets authors leave
-out (head, p, li, dt, dd, option, table parts) and end tags that close what is open inside. The
-renderer leaves out what a browser does not show (head, script, style, template, noscript
-and comments; ``hidden``, ``display:none``, ``visibility:hidden``; closed dialogs and all
-but the summary of closed details) and emits all other text: blocks on lines of their own,
-paragraphs, headings, lists and tables set off by an empty line, list items with bullets
-or numbers and indented, preformatted text as it is, and table cells in aligned columns.
+out (head, p, li, dt, dd, option, table parts) and end tags that close what is open inside.
+The renderer leaves out what a browser does not show (head, script, style, template,
+noscript and comments; ``hidden``, ``display:none``; closed dialogs and all but the summary
+of closed details; text whose inherited ``visibility`` is not visible) and emits all other
+text: blocks on lines of their own, paragraphs, headings, lists and tables set off by an
+empty line, list items with bullets or numbers and indented, preformatted text as it is,
+and table cells in aligned columns.
 
 Null and empty pages give an empty text. Malformed markup never fails: what is no tag is
 text. Nesting depth is bounded by memory only. Repeated rows give the same text, and an
@@ -28,7 +29,12 @@ TOKEN = re.compile(
     r"|<(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>"
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-INVISIBLE_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+INVISIBLE_STYLE = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VISIBILITY = re.compile(
+    r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|collapse|inherit|unset)\b"
+    r"\s*(!\s*important)?",
+    re.I,
+)
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 VOID = frozenset(
@@ -44,7 +50,7 @@ IN_HEAD = frozenset(
     "base basefont bgsound link meta noframes noscript script style template title".split()
 )
 SPACED = frozenset(
-    "p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split()
+    "p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre xmp figure fieldset hr".split()
 )
 BLOCKS = SPACED | frozenset(
     "html body address article aside center details dialog dd div dt figcaption footer form "
@@ -155,6 +161,8 @@ def build(html: str) -> Node:
             inner = html[at : stop.start() if stop else len(html)]
             if name in ("textarea", "title"):
                 node.children.append(unescape(inner))
+            elif name == "xmp":
+                node.children.append(inner)
             at = stop.end() if stop else len(html)
         elif name not in VOID:
             open_.append(node)
@@ -243,6 +251,16 @@ def _hidden(node: Node, parent: Node) -> bool:
     )
 
 
+def _visible(node: Node, inherited: bool) -> bool:
+    """Whether text directly in the element is visible, by its last visibility, important
+    ones first; an element without one is as its parent."""
+    found = VISIBILITY.findall(node.attrs.get("style", "")) if node.attrs else ()
+    if not found:
+        return inherited
+    value = max(enumerate(found), key=lambda x: (bool(x[1][1]), x[0]))[1][0].lower()
+    return inherited if value in ("inherit", "unset") else value in ("visible", "initial")
+
+
 class Renderer:
     """Walks the tree without recursion; a table cell is a page of its own."""
 
@@ -278,7 +296,7 @@ class Renderer:
             page.marker = marker
         elif name in ("dd", "blockquote"):
             page.indents.append("  ")
-        elif name == "pre":
+        elif name in ("pre", "xmp"):
             self.pre += 1
 
     def text(self, text: str) -> None:
@@ -307,28 +325,30 @@ class Renderer:
         elif name in ("li", "dd", "blockquote"):
             page.indents.pop()
             page.marker = "" if name == "li" else page.marker
-        elif name == "pre":
+        elif name in ("pre", "xmp"):
             self.pre -= 1
 
 
 def render(root: Node) -> str:
     """All visible text of the tree."""
     out = Renderer()
-    todo: list[tuple[object, Node | None]] = [(root, None)]
+    todo: list[tuple[object, Node | None, bool]] = [(root, None, True)]
     while todo:
-        node, parent = todo.pop()
+        node, parent, visible = todo.pop()
         if isinstance(node, str):
             closed = parent.name == "details" and "open" not in parent.attrs
             # Blanks between the parts of a table or list are no text.
-            if not closed and (node.strip() or parent.name not in ("table", "tr", "ul", "ol")):
+            blank = parent.name in ("table", "tr", "ul", "ol") and not node.strip()
+            if visible and not closed and not blank:
                 out.text(node)
         elif parent is None and node is not root:
             out.leave(node)
         elif node is root or not _hidden(node, parent):
+            visible = _visible(node, visible)
             out.enter(node)
             if node is not root:
-                todo.append((node, None))
-            todo.extend((child, node) for child in reversed(node.children))
+                todo.append((node, None, visible))
+            todo.extend((child, node, visible) for child in reversed(node.children))
     return "\n".join(out.pages[0].finish())
 
 

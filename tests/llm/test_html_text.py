@@ -41,6 +41,13 @@ CASES = [
     ("<HEAD><title>t</title><head><h1>a</h1></head><div>b", "a\n\nb"),
     ("<head><noscript><div>n</head><body>a", "a"),
     ("<noscript><div>no</noscript>a", "a"),
+    ("<p>a<xmp>  <b>x</b> &amp;\n  y</xmp>b", "a\n\n  <b>x</b> &amp;\n  y\n\nb"),
+    ("<div style='visibility:hidden'>no<p>no<b style='visibility: visible'>yes<i>too</b></div>z",
+     "yestoo\n\nz"),
+    ("<p style='visibility:hidden; visibility:visible'>a<p style='visibility:collapse'>no", "a"),
+    ("<p style='visibility:hidden!important;visibility:visible'>no</p>"
+     "<pre style='visibility:hidden'>no\nno<b style='visibility:inherit'>no</b></pre>a", "a"),
+    ("<table><tr><td style='visibility:hidden'>no<td>b<tr><td>c<td>d</table>", "   b\nc  d"),
 ]
 
 
