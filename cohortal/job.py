@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortal import fixed
 from cohortal.config import CohortConfig
 from cohortal.operators.longlist import row_hash
-from cohortal.plans import build, codes, cohort, features
+from cohortal.plans import build, codes, cohort, exclusions, features
 from cohortal.sources.tables import stage, staged_run, write_table
 
 
@@ -118,12 +118,12 @@ class Datasets:
             "site_outcomes": lambda: build.site_outcomes(self.ready, cfg),
             "person_features": self.person_features,
             "person_features_expanded": lambda: self.expanded,
-            "cancer_exclusions": lambda: build.cancer_exclusions(self.ready, self.people, cfg),
+            "cancer_exclusions": lambda: exclusions.cancer_list(s, cfg, tie_break=self.tie_break),
             "cancer_cohort": self.cancer_cohort,
             "cancer_table": lambda: build.cancer_table(self.ready, self.people, cfg),
             "prior_stroke": lambda: build.prior_condition(self.ready, cfg, fixed.STROKE),
             "stroke_outcome": lambda: build.condition_outcome(self.ready, cfg, fixed.STROKE),
-            "stroke_exclusions": lambda: build.stroke_exclusions(self.ready, self.people, cfg),
+            "stroke_exclusions": lambda: exclusions.stroke_list(s, cfg),
             "stroke_cohort": self.stroke_cohort,
             "stroke_table": lambda: build.stroke_table(self.ready, self.people, cfg),
         }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,53 @@ def exclude_by_rules(person: DataFrame, rules: Rules) -> DataFrame:
     for _, rule in rules:
         person = person.where(~F.coalesce(rule, F.lit(False)))
     return person
+
+
+Facts = dict[str, Column]
+# Reason, the facts it needs, and the facts that rule it out.
+FactRules = list[tuple[str, list[str], list[str]]]
+
+
+def fact_names(sources: list[tuple[DataFrame, Facts]]) -> list[str]:
+    """Names of all facts; the place of a name is its bit."""
+    names = list(dict.fromkeys(name for _, facts in sources for name in facts))
+    if len(names) > 63:
+        raise ValueError(f"{len(names)} facts do not fit one number")
+    return names
+
+
+def fact_bits(facts: Facts, names: list[str]) -> Column:
+    """The facts that hold for a row, as one number; a null condition does not hold."""
+    bits = [
+        F.when(condition, F.lit(1 << names.index(name))).otherwise(F.lit(0)).cast("bigint")
+        for name, condition in facts.items()
+    ]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def fact_sets(entity: str, sources: list[tuple[DataFrame, Facts]]) -> DataFrame:
+    """``entity`` and ``facts``: which facts hold for each entity, as the bits of one number.
+
+    Each source is a table with the facts that can be read off its rows; a fact holds for an
+    entity if it does in any of its rows. Sources are cut to the entity and one number, and
+    only rows with a fact are kept. One union and one ``bit_or`` gather them: map tasks send
+    one number per entity, so a hot entity costs no more than any other, and no source is
+    joined with another. Rows without an entity are dropped. Bits follow ``fact_names``.
+    """
+    names = fact_names(sources)
+    parts = [t.select(entity, fact_bits(facts, names).alias("facts")) for t, facts in sources]
+    rows = reduce(DataFrame.unionAll, parts).where(F.col(entity).isNotNull() & (F.col("facts") != 0))
+    return rows.groupBy(entity).agg(F.bit_or("facts").alias("facts"))
+
+
+def reasons_of_facts(sets: DataFrame, entity: str, names: list[str], rules: FactRules) -> DataFrame:
+    """One row per entity and reason: all needed facts hold and none that rules it out."""
+
+    def mask(wanted: list[str]) -> int:
+        return sum(1 << names.index(n) for n in wanted)
+
+    found = [
+        F.when(F.col("facts").bitwiseAND(F.lit(mask([*needs, *bars]))) == mask(needs), reason)
+        for reason, needs, bars in rules
+    ]
+    return sets.select(entity, F.explode(F.array_compact(F.array(*found))).alias("reason"))

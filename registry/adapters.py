@@ -10,6 +10,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cohortal import CohortConfig
 from cohortal import fixed
@@ -32,8 +33,16 @@ def code(key: str) -> str:
     return f"concat(char(65 + ({key}) % 26), {digits})"
 
 
+# Schemas of the driver tables by path. Several adapters start from one table, and finding
+# its schema is a job of its own.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = read_table(spark, path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def person(spark: SparkSession, sf: str) -> DataFrame:

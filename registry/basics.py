@@ -17,10 +17,12 @@ from cohortal.functions.weeks import Timeline, flag, weeks_after, weeks_before
 from cohortal.operators.encode import clean_one_hot, one_hot
 from cohortal.operators.joins import columns_containing, prefix_columns, select_columns
 from cohortal.operators.strata import (
+    split_by_stratum,
     split_hash,
     split_stratified,
     strata_assign,
     strata_crosstab,
+    stratum_label,
 )
 from cohortal.plans.features import geography_features
 from registry import adapters as a
@@ -279,3 +281,25 @@ def split_hash_query(spark, sf):
 def split_stratified_query(spark, sf):
     target = F.nullif(F.col("care_home") + F.col("diabetes"), F.lit(2)).alias("target")
     return split_stratified(a.person(spark, sf).select(ID, target), ID, "target", seed=a.CFG.seed)
+
+
+_DRAWN = f"""SELECT {ID}, age_bucket || '-' || gender AS stratum,
+    {g.draw(ID)} AS draw FROM {_STRATA}"""
+_RANKED = f"""SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY draw) AS place,
+    count(*) OVER (PARTITION BY stratum) AS n FROM ({_DRAWN})"""
+
+
+@query(
+    "split_by_stratum",
+    f"""SELECT {ID}, d.stratum, CASE WHEN draw <= train THEN 'train'
+            WHEN draw <= validate THEN 'validate' ELSE 'test' END AS dataset
+        FROM ({_DRAWN}) d JOIN (
+            SELECT stratum, min(draw) FILTER (WHERE place >= 0.6 * n) AS train,
+                min(draw) FILTER (WHERE place >= 0.8 * n) AS validate
+            FROM ({_RANKED}) GROUP BY stratum) b ON d.stratum IS NOT DISTINCT FROM b.stratum""",
+)
+def split_by_stratum_query(spark, sf):
+    """Each stratum split on its own; people of unknown gender are the null stratum."""
+    label = stratum_label(["age_bucket", "gender"])
+    person = _strata_person(spark, sf).select(ID, label.alias("stratum"))
+    return split_by_stratum(person, ID, "stratum", seed=a.CFG.seed)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from cohortal import fixed
 from cohortal.operators.exclude import exclude
-from cohortal.plans import build, cohort
+from cohortal.plans import build, cohort, exclusions
 from cohortal.sources.tables import stage
 from registry import adapters as a
 from registry import sqlgen as g
@@ -52,14 +52,24 @@ def assemble_expanded(spark, sf):
     return codes_as_text(_expanded(_ready(spark, sf)))
 
 
+def _cancer_list(spark, sf):
+    return exclusions.cancer_list(
+        a.sources(spark, sf), a.CFG, first_year=a.FIRST_YEAR, tie_break=a.TIE_BREAK
+    )
+
+
+def _stroke_list(spark, sf):
+    return exclusions.stroke_list(a.sources(spark, sf), a.CFG, first_year=a.FIRST_YEAR)
+
+
 @query("exclusion_reasons", "SELECT * FROM cancer_excluded")
 def exclusion_reasons(spark, sf):
-    return build.cancer_exclusions(*_ready_people(spark, sf), a.CFG)
+    return _cancer_list(spark, sf)
 
 
 @query("exclusion_reasons_alt", "SELECT * FROM stroke_excluded")
 def exclusion_reasons_alt(spark, sf):
-    return build.stroke_exclusions(*_ready_people(spark, sf), a.CFG)
+    return _stroke_list(spark, sf)
 
 
 @query("cancer_cohort", "SELECT *, NULL::VARCHAR AS reason FROM cancer_kept")
@@ -86,9 +96,7 @@ def stroke_cohort(spark, sf):
         WHERE {ID} NOT IN (SELECT {ID} FROM stroke_excluded)""",
 )
 def exclude_anti(spark, sf):
-    ready, people = _ready_people(spark, sf)
-    listed = build.stroke_exclusions(ready, people, a.CFG)
-    return exclude(ready.sources.person, listed, ID)
+    return exclude(a.person(spark, sf), _stroke_list(spark, sf), ID)
 
 
 @query(
@@ -98,9 +106,7 @@ def exclude_anti(spark, sf):
             ON p.{ID} = x.{ID} WHERE reason IS NULL""",
 )
 def exclude_left_isnull(spark, sf):
-    ready, people = _ready_people(spark, sf)
-    listed = build.cancer_exclusions(ready, people, a.CFG)
-    return exclude(ready.sources.person, listed, ID, reason_column=True)
+    return exclude(a.person(spark, sf), _cancer_list(spark, sf), ID, reason_column=True)
 
 
 _LABEL = f"cancer_diagnosis_in_next_{a.CFG.label_weeks}_weeks"

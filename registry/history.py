@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cohortal import fixed
 from cohortal.functions.text import underscore_label
 from cohortal.functions.weeks import Timeline
+from cohortal.operators.contains import contains_tag
 from cohortal.operators.joins import drop_all_null, lookup_join
 from cohortal.operators.labels import flag_cause_of_death, outcome_labels, update_labels_from_death
 from cohortal.operators.lookback import (
@@ -326,6 +327,37 @@ def site_tag_query(spark, sf):
     return site_tag(a.events(spark, sf))
 
 
+def _long_codes(spark, sf):
+    """Codes within longer text: at the start, in the middle, at the end, and twice."""
+    events = a.events(spark, sf)
+    key = F.length("activity_id") % 4
+    other = F.substring("activity_id", 1, 2)
+    text = (
+        F.when(key == 0, F.concat("diagnosis", F.lit(" "), other))
+        .when(key == 1, F.concat(other, F.lit("/"), "diagnosis", F.lit(".9")))
+        .when(key == 2, F.concat(F.lit("see "), "diagnosis"))
+        .otherwise(F.concat("diagnosis", F.lit(","), "diagnosis"))
+    )
+    return events.withColumn("diagnosis", text)
+
+
+_LONG_CODES = f"""(SELECT {ID}, activity_id, date, CASE length(activity_id) % 4
+    WHEN 0 THEN diagnosis || ' ' || substr(activity_id, 1, 2)
+    WHEN 1 THEN substr(activity_id, 1, 2) || '/' || diagnosis || '.9'
+    WHEN 2 THEN 'see ' || diagnosis ELSE diagnosis || ',' || diagnosis END AS diagnosis
+    FROM coded_events)"""
+
+
+@query(
+    "site_tag_contains",
+    f"""SELECT e.*, cancer_type FROM {_LONG_CODES} e
+        JOIN sites ON regexp_matches(e.diagnosis, pattern)""",
+)
+def site_tag_contains(spark, sf):
+    """Sites by the codes that occur anywhere in a longer code text."""
+    return contains_tag(_long_codes(spark, sf))
+
+
 def _tagged_later(spark, sf):
     events = a.events(spark, sf)
     return site_tag(events.where(Timeline(events, a.CFG, "date").after()))

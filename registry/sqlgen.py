@@ -213,9 +213,15 @@ def mapped(column: str, mapping: dict[str, str]) -> str:
     return f"CASE {column} {cases} END"
 
 
+def draw(key: str) -> str:
+    return f"('0x' || substr(md5('{CFG.seed}:' || {key}), 1, 8))::UBIGINT / 4294967296.0"
+
+
 def split(key: str) -> str:
-    draw = f"('0x' || substr(md5('{CFG.seed}:' || {key}), 1, 8))::UBIGINT / 4294967296.0"
-    return f"CASE WHEN {draw} < 0.6 THEN 'train' WHEN {draw} < 0.8 THEN 'validate' ELSE 'test' END"
+    return (
+        f"CASE WHEN {draw(key)} < 0.6 THEN 'train' WHEN {draw(key)} < 0.8 THEN 'validate'"
+        " ELSE 'test' END"
+    )
 
 
 # Assembled tables, as views on top of the adapters.
