@@ -1,0 +1,173 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from texts import EDGES, SCHEMA, SF, documents
+
+from cohortal.llm import periodic_runs, registry
+
+
+def smallest_period(w):
+    border = [0] * len(w)
+    k = 0
+    for i in range(1, len(w)):
+        while k and w[i] != w[k]:
+            k = border[k - 1]
+        k += w[i] == w[k]
+        border[i] = k
+    return len(w) - border[-1]
+
+
+def brute(w, least=12):
+    n, out = len(w), []
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i < n - q:
+            start = i
+            while i < n - q and w[i] == w[i + q]:
+                i += 1
+            length = i - start + q
+            if i > start and length >= max(least, 2 * q):
+                if smallest_period(w[start : start + length]) == q:
+                    out.append((start, length, q))
+            i += 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def found(w, least=12):
+    runs = periodic_runs.find_runs(np.array(w, dtype=np.int32), least)
+    return [tuple(r) for r in runs.tolist()]
+
+
+def sequences(seed, n):
+    rng = random.Random(seed)
+    for _ in range(n):
+        size = rng.choice([0, 1, 11, 12, 13, 25, 50, 90, 180])
+        w = [rng.randrange(rng.choice([1, 2, 2, 3, 6, 30])) for _ in range(size)]
+        for _ in range(rng.randint(0, 2)):
+            if size > 14:
+                at, period = rng.randrange(size), 1 + rng.randrange(size // 4)
+                for i in range(at, rng.randint(at, size)):
+                    w[i] = w[at + (i - at) % period]
+        yield w
+
+
+def test_runs_against_brute_force():
+    for w in sequences(13, 400):
+        assert found(w) == brute(w), w
+        assert found(w, 2) == brute(w, 2), w
+
+
+def test_long_texts_go_through_the_grid_in_pieces(monkeypatch):
+    monkeypatch.setattr(periodic_runs, "GRID", 32)
+    periodic_runs._first_pairs.cache_clear()
+    try:
+        for w in sequences(7, 150):
+            assert found(w) == brute(w), w
+    finally:
+        periodic_runs._first_pairs.cache_clear()
+
+
+def test_the_cover_takes_every_two_places_to_samples():
+    m = periodic_runs.MODULUS
+    differences = {(a - b) % m for a in periodic_runs.COVER for b in periodic_runs.COVER}
+    assert differences == set(range(m))
+    for a in range(m):
+        for b in range(m):
+            shift = periodic_runs.SHIFT[a, b]
+            assert {(a + shift) % m, (b + shift) % m} <= set(periodic_runs.COVER)
+
+
+def test_extensions_against_direct_comparison():
+    rng = random.Random(5)
+    for _ in range(60):
+        unit = [rng.randrange(3) for _ in range(rng.randint(1, 40))]
+        w = (unit * 9)[: rng.randint(1, 200)]
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(len(w))] = 9
+        ext = periodic_runs.Extensions(np.array(w, dtype=np.int32))
+        pairs = [(i, j) for i in range(len(w)) for j in range(i + 1, len(w) + 1)]
+        if not pairs:
+            continue
+        a, b = np.array(pairs).T
+        got = ext.between(a, b).tolist()
+        for (i, j), length in zip(pairs, got):
+            k = 0
+            while j + k < len(w) and w[i + k] == w[j + k]:
+                k += 1
+            assert length == k, (w, i, j)
+        ranks, _ = ext.samples
+        sampled = [i for i in range(len(w)) if i % periodic_runs.MODULUS in periodic_runs.COVER]
+        assert sorted(sampled, key=lambda i: ranks[i]) == sorted(sampled, key=lambda i: w[i:])
+
+
+def expected(doc_id, text):
+    words = (text or "").encode().split()
+    n = len(words)
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = brute(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+    text = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    return (
+        doc_id, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+        hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(kept).hexdigest(),
+    )
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_query_on_the_driver_table(spark):
+    import __spark_entry__ as contract
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    short = [r for r in docs if len(r["text"] or "") < 4_000]
+    assert len(short) > 100
+    out = contract.queries()["op13_periodic_runs"](spark, SF)
+    ids = [r["doc_id"] for r in short]
+    got = out.where(out.doc_id.isin(ids))
+    assert out.count() == len(docs)
+    assert rows(got) == sorted((expected(r["doc_id"], r["text"]) for r in short), key=str)
+    assert sum(r["n_runs"] > 0 for r in got.collect()) > 5
+
+
+def test_edge_rows(spark, tmp_path):
+    # 35, 49 and 52 are among the ids whose texts get a period.
+    texts = [
+        *EDGES, (35, "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3), (35, None),
+        (49, "w"), (52, "x y " * 40), (53, "é ü\n" * 9),
+        (54, "  same same " * 8), (None, "x y " * 40),
+    ]
+    assert any(zlib.crc32(str(i).encode()) % 10 == 0 for i in (35, 49, 52))
+    documents(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = rows(registry.op13(spark, str(tmp_path)))
+    assert got == sorted((expected(i, t) for i, t in texts), key=str)
+    assert periodic_runs.with_runs(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_operator_keeps_columns_and_collapses_texts(spark):
+    df = spark.createDataFrame(
+        [("k", "go " * 20 + "stop", "old", 1)], "key string, text string, runs string, start int"
+    )
+    out = periodic_runs.with_runs(df, id_column="key")
+    assert out.columns == ["key", "text", "start", "runs", "collapsed"]
+    r = out.first()
+    assert r["collapsed"] == "go stop" and r["start"] == 1
+    assert [tuple(x) for x in r["runs"]] == [(0, 20, 1)]
+
+
+@pytest.mark.parametrize("n", [5_000, 40_000])
+def test_one_word_over_and_over(n):
+    assert found([7] * n) == [(0, n, 1)]
