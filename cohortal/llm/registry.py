@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from functools import wraps
 
 import corpus_pipeline
@@ -12,10 +13,13 @@ from cohortal.llm import (
     exact_dedup,
     html_text,
     langid,
+    lexical_search,
+    line_dedup,
     mixing,
     near_dedup,
     ordinal,
     packing,
+    periodic_runs,
     quality,
     secrets,
     suffix_dedup,
@@ -122,6 +126,117 @@ def op10(spark, sf):
     return suffix_dedup.remove_repeats(table(spark, sf, "documents"))
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(
+    "op11_line_dedup",
+    f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+        FROM documents),
+    l AS (
+        SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM d),
+    k AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            '{_UPPER}', '{_LOWER}') AS key FROM l),
+    s AS (
+        SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE last <> doc_id) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+                           FILTER (WHERE last IS NULL OR last = doc_id), '')) AS kept_sha256
+    FROM k LEFT JOIN s ON k.key = s.key GROUP BY r, doc_id
+    """,
+)
+def op11(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = line_dedup.drop_repeated_lines(docs)
+    digest = F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
+    return out.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+def _terms(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op12_lexical_search",
+    f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS terms FROM documents),
+    known AS (SELECT *, len(terms) AS n FROM d WHERE len(terms) > 0),
+    total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM known),
+    found AS (
+        SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM known)
+        GROUP BY r, term),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+        FROM found, total GROUP BY term, docs),
+    asked AS (
+        SELECT DISTINCT item_id, text, term
+        FROM (SELECT item_id, text, unnest({_terms('text')}) AS term FROM benchmark)),
+    scored AS (
+        SELECT item_id, text, r, sum(w * ((1000000000 * tf)
+            // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+        FROM asked JOIN found USING (term) JOIN weights USING (term)
+            JOIN known USING (r), total
+        GROUP BY item_id, text, r)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT item_id, doc_id, score, row_number() OVER (
+                PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank
+          FROM scored JOIN known USING (r) WHERE score > 0)
+    WHERE rank <= 10
+    """,
+)
+def op12(spark, sf):
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Of one document in ten, by the checksum of its id, the words from some place on repeat
+    with some period; a document without an id stays as it is."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = periodic_runs.with_runs(docs, prepare=with_planted_period)
+    longest = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")
+            ),
+        )
+    )
+    rows = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    best = found.withColumn("best", longest)
+    length, period = F.col("best.length"), -F.col("best.p")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(rows, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
