@@ -102,6 +102,8 @@ def _places_to_drop(pairs: DataFrame, min_docs: int) -> DataFrame:
         .where(F.col("n") >= min_docs)
         .drop("n")
     )
+    # As a written table it is shuffled anew, and Spark can split a key of very many pairs.
+    shared = stage(shared, "shared_keys")
     stays = F.when(F.col("unnamed"), F.col("id").isNull()).otherwise(F.col("id") == F.col("last"))
     gone = pairs.join(shared, ["h1", "h2"]).where(~stays)
     # Repeated rows give the same places again.
