@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
@@ -18,16 +19,112 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
-    """Overwrite a Parquet table.
+class SchemaChanged(ValueError):
+    """The rows to be written do not fit the table that is there."""
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and a function that makes its path objects."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    system, make = _file_system(spark, path)
+    return system.exists(make(path))
+
+
+def _beside(path: str, kind: str) -> str:
+    return f"{path.rstrip('/')}__{kind}-{uuid.uuid4().hex}"
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Put back the old table if a writer was lost after it had moved it away and before it
+    had put the new one in its place. True if there was something to put back."""
+    system, make = _file_system(spark, path)
+    target = make(path.rstrip("/"))
+    if system.exists(target) or not system.exists(target.getParent()):
+        return False
+    moved = [
+        f.getPath()
+        for f in system.listStatus(target.getParent())
+        if f.getPath().getName().startswith(f"{target.getName()}__old-")
+    ]
+    return bool(moved) and system.rename(max(moved, key=lambda p: p.toString()), target)
+
+
+def _columns(schema: T.StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+def check_schema(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
+    """Raise unless the rows have the columns of the table, and of the same types.
+
+    Partition columns are compared by name: their type is read off folder names.
+    """
+    loose = set(partition_by or [])
+    there, here = _columns(df.sparkSession.read.parquet(path).schema), _columns(df.schema)
+    differing = {
+        c: (there.get(c), here.get(c))
+        for c in {*there, *here}
+        if c not in there or c not in here or (c not in loose and there[c] != here[c])
+    }
+    if differing:
+        raise SchemaChanged(f"{path}: (table, rows) differ in {differing}")
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    *,
+    partition_by: list[str] | None = None,
+    same_schema: bool = False,
+) -> None:
+    """Replace a Parquet table, or make a new one.
+
+    The rows are written beside the table, which stays as it is until they are complete and,
+    with ``same_schema``, have been found to have its columns. Then the two change places by
+    renaming. So a writer that fails or is lost on the way leaves the old table, readers
+    never see half of a new one, and ``df`` may itself read the table. ``recover_table``
+    settles the one case between the two renamings; each write begins with it.
 
     The rebalance hint lets Spark even out file sizes, splitting skewed partitions
     and merging small ones.
     """
-    writer = df.hint("rebalance", *(partition_by or [])).write.mode("overwrite")
+    spark = df.sparkSession
+    recover_table(spark, path)
+    system, make = _file_system(spark, path)
+    new, old = make(_beside(path, "new")), make(_beside(path, "old"))
+    writer = df.hint("rebalance", *(partition_by or [])).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    try:
+        writer.parquet(new.toString())
+        there = table_exists(spark, path)
+        if there and same_schema:
+            check_schema(spark.read.parquet(new.toString()), path, partition_by=partition_by)
+        if there and not system.rename(make(path), old):
+            raise OSError(f"{path} cannot be moved")
+        if not system.rename(new, make(path)):
+            recover_table(spark, path)
+            raise OSError(f"{path} cannot be put in place")
+    finally:
+        if system.exists(new):
+            system.delete(new, True)
+    if system.exists(old):
+        system.delete(old, True)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace those partitions of a table that ``df`` has rows of, and no others.
+
+    The rows must have the table's columns. Spark writes them to a folder of their own and
+    moves the partitions at the end, so a writer that fails before leaves the table.
+    """
+    if table_exists(df.sparkSession, path):
+        check_schema(df, path, partition_by=partition_by)
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -38,8 +135,8 @@ def staging_folder(spark: SparkSession) -> str:
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove a folder of staged tables, wherever the cluster keeps it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    system, make = _file_system(spark, folder)
+    system.delete(make(folder), True)
 
 
 @contextmanager
@@ -68,6 +165,12 @@ def staged_run(spark: SparkSession) -> Iterator[str]:
             remove_folder(spark, folder)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A path of its own for a staged table, in the folder of the run if there is one."""
+    run, unique = _RUN_FOLDER.get(), uuid.uuid4().hex
+    return f"{run}/{unique}/{name}" if run else f"{staging_folder(spark)}/cohortal-{unique}/{name}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several consumers read, and read it back.
 
@@ -75,8 +178,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     lists of the consumers reach its scan.
     """
     spark = df.sparkSession
-    run = _RUN_FOLDER.get()
-    unique = uuid.uuid4().hex
-    path = f"{run}/{unique}/{name}" if run else f"{staging_folder(spark)}/cohortal-{unique}/{name}"
+    path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

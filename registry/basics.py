@@ -25,6 +25,7 @@ from cohortal.operators.strata import (
     stratum_label,
 )
 from cohortal.plans.features import geography_features
+from cohortal.sources.tables import overwrite_partitions, read_table, stage_path, write_table
 from registry import adapters as a
 from registry import sqlgen as g
 from registry.catalog import query
@@ -39,6 +40,24 @@ def scan_project(spark, sf):
     return select_columns(a.table(spark, sf, "orders"), names)
 
 
+@query(
+    "sink_overwrite",
+    f"""SELECT o_orderkey, o_totalprice, year(o_orderdate)::INTEGER AS order_year,
+            CASE WHEN year(o_orderdate) = 1998 THEN 'second' ELSE 'first' END AS written
+        FROM orders WHERE year(o_orderdate) <> 1998 OR o_orderdate < {CUT} AND o_orderkey % 2 = 0""",
+)
+def sink_overwrite(spark, sf):
+    """Orders written by year, one year replaced, and the table read back."""
+    path = stage_path(spark, "orders_by_year")
+    orders = a.table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("order_year")
+    )
+    write_table(orders.withColumn("written", F.lit("first")), path, partition_by=["order_year"])
+    again = orders.where("order_year = 1998 AND o_orderkey % 2 = 0")
+    overwrite_partitions(again.withColumn("written", F.lit("second")), path, ["order_year"])
+    return read_table(spark, path).select("o_orderkey", "o_totalprice", "order_year", "written")
+
+
 @query("filter_before", f"SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate < {CUT}")
 def filter_before(spark, sf):
     orders = a.table(spark, sf, "orders")
