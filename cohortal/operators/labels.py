@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cohortal.config import CohortConfig, ConditionRule
 from cohortal.fixed import DEATH_LABEL
 from cohortal.functions.weeks import Timeline, flag
-from cohortal.operators.summary import SPAN, code_spans, first_and_last
+from cohortal.operators.dictionary import CodeDictionary, packable
+from cohortal.operators.summary import DATE, SPAN, code_spans, first_and_last
 
 
 def label_spans(
@@ -18,9 +19,16 @@ def label_spans(
     *,
     prefix: str = "",
     anchor: str = "earliest",
+    dictionary: CodeDictionary | None = None,
 ) -> DataFrame:
     """``outcome_labels`` over spans keyed by person."""
-    ends = first_and_last(spans, [cfg.entity], with_codes=True, **SPAN)
+    ends = first_and_last(spans, [cfg.entity], with_codes=True, dictionary=dictionary, **SPAN)
+    return _labels(ends, cfg, condition, prefix, anchor)
+
+
+def _labels(
+    ends: DataFrame, cfg: CohortConfig, condition: str, prefix: str, anchor: str
+) -> DataFrame:
     date = f"{prefix}{condition}_after_cut_off_date"
     code = prefix + "diagnosis_{}_after_cut_off_date"
     out = ends.select(
@@ -46,13 +54,18 @@ def outcome_labels(
     *,
     prefix: str = "",
     anchor: str = "earliest",
+    dictionary: CodeDictionary | None = None,
 ) -> DataFrame:
     """Per person: first and latest date and code, code set, and one flag per horizon.
 
     ``events`` are already limited to the condition and to dates after the
     cut-off. Flags look at the earliest date, or the latest with
-    ``anchor="latest"``.
+    ``anchor="latest"``. With a literal ``dictionary`` events are aggregated in one shuffle,
+    else they become spans first.
     """
+    if dictionary is not None and dictionary.codes is not None and packable(events, DATE):
+        ends = first_and_last(events, [cfg.entity], with_codes=True, dictionary=dictionary)
+        return _labels(ends, cfg, condition, prefix, anchor)
     spans = code_spans(events, [cfg.entity])
     return label_spans(spans, cfg, condition, prefix=prefix, anchor=anchor)
 

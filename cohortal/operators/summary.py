@@ -7,6 +7,9 @@ Two ways to stay clear of a person with a third of all events:
 * A set of codes grows with every map task that sends a part of it. Raw events
   therefore first shrink to one span per (keys, code), the earliest and latest
   date of the code, with a hash aggregate spread over all tasks by code.
+
+With a dictionary of the codes both are fixed numbers of longs per person, and events are
+aggregated in one hash aggregate and one shuffle (``dictionary.py``).
 """
 
 from __future__ import annotations
@@ -16,6 +19,15 @@ from pyspark.sql import functions as F
 
 from cohortal.config import CohortConfig
 from cohortal.functions.weeks import Timeline, flag
+from cohortal.operators.dictionary import (
+    CodeDictionary,
+    ShortCodes,
+    code_sets,
+    packable,
+    packed,
+    packed_ends,
+    unpacked,
+)
 
 DATE = "date"
 CODE = "diagnosis"
@@ -74,12 +86,19 @@ def first_and_last(
     last: str = DATE,
     code: str = CODE,
     with_codes: bool = False,
+    dictionary: CodeDictionary | ShortCodes | None = None,
 ) -> DataFrame:
     """Per keys: ``first`` and ``last`` as (date, code), optionally the sorted code set.
 
     Reads events, or spans with ``**SPAN``. Codes break ties on one day: the
-    smallest is first, the greatest is last. ``with_codes`` is meant for spans.
+    smallest is first, the greatest is last. ``with_codes`` is meant for spans, or for a
+    ``dictionary`` that is a literal.
     """
+    if dictionary is not None and packable(df, first, last):
+        if not with_codes or dictionary.codes is not None:
+            return packed_ends(
+                df, keys, dictionary, first=first, last=last, code=code, with_codes=with_codes
+            )
 
     def dated(time: str) -> Column:
         return F.struct(F.col(time).alias("date"), F.col(code).alias("code"))
@@ -90,8 +109,18 @@ def first_and_last(
     return df.groupBy(*keys).agg(*parts)
 
 
-def distinct_codes(events: DataFrame, key: str, *, code: str = CODE, name: str) -> DataFrame:
-    """Sorted set of codes per key; pairs are made distinct before they are gathered."""
+def distinct_codes(
+    events: DataFrame,
+    key: str,
+    *,
+    code: str = CODE,
+    name: str,
+    dictionary: CodeDictionary | None = None,
+) -> DataFrame:
+    """Sorted set of codes per key: as bits of a literal dictionary, else from pairs that are
+    made distinct before they are gathered."""
+    if dictionary is not None and dictionary.codes is not None:
+        return code_sets(events, [key], dictionary, code, name)
     pairs = events.select(key, code).distinct()
     return pairs.groupBy(key).agg(F.array_sort(F.collect_set(code)).alias(name))
 
@@ -104,7 +133,7 @@ def _recent_flags(df: DataFrame, cfg: CohortConfig, time: str, name: str) -> lis
 
 
 def group_summary(
-    events: DataFrame, cfg: CohortConfig, name: str, *, same_code: bool = False, **columns: str
+    events: DataFrame, cfg: CohortConfig, name: str, *, same_code: bool = False, **columns
 ) -> DataFrame:
     """Per person: first code, earliest and latest date, a flag, and recency flags.
 
@@ -126,10 +155,12 @@ def group_summary(
     return out.select("*", *_recent_flags(out, cfg, earliest, name))
 
 
-def first_per_group(events: DataFrame, cfg: CohortConfig, group: str) -> DataFrame:
+def first_per_group(
+    events: DataFrame, cfg: CohortConfig, group: str, dictionary: CodeDictionary | ShortCodes | None = None
+) -> DataFrame:
     """Earliest date and its code per person and group."""
     keys = [cfg.entity, group]
-    ends = first_and_last(events, keys)
+    ends = first_and_last(events, keys, dictionary=dictionary)
     return ends.select(
         *keys, F.col("first.date").alias(f"{group}_date_earliest"), F.col("first.code").alias(CODE)
     )
@@ -141,7 +172,7 @@ def latest_per_group(events: DataFrame, cfg: CohortConfig, group: str) -> DataFr
 
 
 def category_summary(
-    events: DataFrame, cfg: CohortConfig, category: str, **columns: str
+    events: DataFrame, cfg: CohortConfig, category: str, **columns
 ) -> DataFrame:
     """As ``group_summary``, per person and category."""
     keys = [cfg.entity, category]
@@ -157,20 +188,11 @@ def category_summary(
     return out.select("*", *_recent_flags(out, cfg, earliest, category))
 
 
-def summarise_sites(spans: DataFrame, cfg: CohortConfig, site: str) -> DataFrame:
-    """``site_summary`` over spans keyed by person and site.
-
-    Spans move to their person once; both the per-site step and the code set of
-    the whole person then run without another shuffle.
-    """
-    keys = [cfg.entity, site]
-    placed = spans.repartition(cfg.entity)
-    ends = first_and_last(placed, keys, with_codes=True, **SPAN)
-    person = Window.partitionBy(cfg.entity)
-    all_codes = F.array_sort(F.array_distinct(F.flatten(F.collect_list("codes").over(person))))
+def _site_columns(ends: DataFrame, cfg: CohortConfig, site: str, all_codes: Column) -> DataFrame:
     earliest = f"{site}_date_earliest"
     out = ends.select(
-        *keys,
+        cfg.entity,
+        site,
         F.col("first.date").alias(earliest),
         F.col("first.code").alias(CODE),
         F.col("last.date").alias(f"{site}_date_latest"),
@@ -183,9 +205,84 @@ def summarise_sites(spans: DataFrame, cfg: CohortConfig, site: str) -> DataFrame
     return out.select("*", *flags)
 
 
-def site_summary(tagged: DataFrame, cfg: CohortConfig, site: str) -> DataFrame:
+def summarise_sites(spans: DataFrame, cfg: CohortConfig, site: str) -> DataFrame:
+    """``site_summary`` over spans keyed by person and site.
+
+    Spans move to their person once; both the per-site step and the code set of
+    the whole person then run without another shuffle.
+    """
+    placed = spans.repartition(cfg.entity)
+    ends = first_and_last(placed, [cfg.entity, site], with_codes=True, **SPAN)
+    person = Window.partitionBy(cfg.entity)
+    all_codes = F.array_sort(F.array_distinct(F.flatten(F.collect_list("codes").over(person))))
+    return _site_columns(ends, cfg, site, all_codes)
+
+
+def summarise_declared_sites(
+    tagged: DataFrame,
+    cfg: CohortConfig,
+    site: str,
+    values: list[str],
+    dictionary: CodeDictionary,
+    *,
+    first: str = DATE,
+    last: str = DATE,
+    code: str = CODE,
+) -> DataFrame:
+    """``site_summary`` of declared sites, over events or spans, in one hash aggregate.
+
+    Each person gets two longs for each site and the bits of the code set; the sites that
+    occur become rows again afterwards. Rows of other sites count for nothing.
+    """
+    rows = dictionary.number(tagged, code).where(F.col(site).isin(values))
+    rows = rows.withColumns({"_first": packed(first), "_last": packed(last)})
+    # As SQL text: so many expressions take the driver longer to build one by one.
+    names = [v.replace("'", "\\'") for v in values]
+    ends = [
+        F.expr(f"{pick}(CASE WHEN `{site}` = '{v}' THEN {end} END) AS {end}{i}")
+        for i, v in enumerate(names)
+        for pick, end in (("min", "_first"), ("max", "_last"))
+    ]
+    words = [w.alias(f"_word{k}") for k, w in enumerate(dictionary.set_words(F.col("_number")))]
+    person = rows.groupBy(cfg.entity).agg(*ends, *words)
+    sites = F.expr(
+        "array("
+        + ", ".join(
+            f"CASE WHEN _first{i} IS NOT NULL THEN named_struct("
+            f"'site', '{v}', '_first', _first{i}, '_last', _last{i}) END"
+            for i, v in enumerate(names)
+        )
+        + ")"
+    )
+    codes = dictionary.decode_set([F.col(f"_word{k}") for k in range(len(words))])
+    each = person.select(cfg.entity, codes.alias("codes"), F.explode(F.array_compact(sites)).alias("s"))
+    ends = each.select(cfg.entity, F.col("s.site").alias(site), "s._first", "s._last", "codes")
+    ends = ends.select(
+        cfg.entity,
+        site,
+        *[unpacked(end, dictionary).alias(end[1:]) for end in ("_first", "_last")],
+        "codes",
+    )
+    return _site_columns(ends, cfg, site, F.col("codes"))
+
+
+def site_summary(
+    tagged: DataFrame,
+    cfg: CohortConfig,
+    site: str,
+    *,
+    values: list[str] | None = None,
+    dictionary: CodeDictionary | None = None,
+) -> DataFrame:
     """Per person and site: first and latest date, first code, horizon flags, and
-    the codes of the person across all sites."""
+    the codes of the person across all sites.
+
+    With declared site ``values`` and a literal ``dictionary`` one shuffle does; those
+    sites are then all that count.
+    """
+    if values is not None and dictionary is not None and dictionary.codes is not None:
+        if packable(tagged, DATE):
+            return summarise_declared_sites(tagged, cfg, site, values, dictionary)
     return summarise_sites(code_spans(tagged, [cfg.entity, site]), cfg, site)
 
 

@@ -9,6 +9,7 @@ from cohortal.config import CohortConfig, ConditionRule
 from cohortal.fixed import CAUSE_COLUMNS, GEOGRAPHY_COLUMNS, SITE_CODES, SNAPSHOT_CATEGORIES
 from cohortal.functions.text import keep_alphanumeric, like_any, underscore_label
 from cohortal.functions.weeks import Timeline
+from cohortal.operators.dictionary import CodeDictionary, ShortCodes
 from cohortal.operators.encode import clean_one_hot, discover_values
 from cohortal.operators.joins import assert_unique, lookup_join
 from cohortal.operators.labels import outcome_labels
@@ -138,7 +139,10 @@ def geography_features(
 
 
 def category_features(
-    events: DataFrame, cfg: CohortConfig, categories: list[str] | None = None
+    events: DataFrame,
+    cfg: CohortConfig,
+    categories: list[str] | None = None,
+    dictionary: CodeDictionary | ShortCodes | None = None,
 ) -> DataFrame:
     """First diagnosis and recency of every category, one row per person.
 
@@ -149,15 +153,22 @@ def category_features(
     if categories is None:
         categories = discover_values(past, [CATEGORY])[CATEGORY]
     past = past.where(F.col(CATEGORY).isin(categories))
-    return pivot_categories(category_summary(past, cfg, CATEGORY), cfg, CATEGORY, categories)
+    summary = category_summary(past, cfg, CATEGORY, dictionary=dictionary)
+    return pivot_categories(summary, cfg, CATEGORY, categories)
 
 
 def prior_condition(
-    events: DataFrame, cfg: CohortConfig, rule: ConditionRule, *, same_code: bool = True
+    events: DataFrame,
+    cfg: CohortConfig,
+    rule: ConditionRule,
+    *,
+    same_code: bool = True,
+    dictionary: CodeDictionary | ShortCodes | None = None,
 ) -> DataFrame:
     """Diagnoses of the condition before the cut-off, one row per person."""
     past = events.where(Timeline(events, cfg, "date").before() & rule.matches(F.col("diagnosis")))
-    return group_summary(past, cfg, f"{rule.name}_before_cut_off", same_code=same_code)
+    name = f"{rule.name}_before_cut_off"
+    return group_summary(past, cfg, name, same_code=same_code, dictionary=dictionary)
 
 
 def named_group(
@@ -169,19 +180,29 @@ def named_group(
     return group_summary(past, cfg, name)
 
 
-def condition_outcome(events: DataFrame, cfg: CohortConfig, rule: ConditionRule) -> DataFrame:
+def condition_outcome(
+    events: DataFrame,
+    cfg: CohortConfig,
+    rule: ConditionRule,
+    dictionary: CodeDictionary | None = None,
+) -> DataFrame:
     """First and latest diagnosis after the cut-off, and one label per horizon."""
     later = events.where(Timeline(events, cfg, "date").after() & rule.matches(F.col("diagnosis")))
-    return outcome_labels(later, cfg, rule.name)
+    return outcome_labels(later, cfg, rule.name, dictionary=dictionary)
 
 
 def site_outcomes(
-    events: DataFrame, cfg: CohortConfig, sites: list[str] | None = None
+    events: DataFrame,
+    cfg: CohortConfig,
+    sites: list[str] | None = None,
+    dictionary: CodeDictionary | None = None,
 ) -> DataFrame:
     """Outcomes per disease site, one row per person."""
+    sites = sites or list(SITE_CODES)
     later = events.where(Timeline(events, cfg, "date").after())
     tagged = site_tag(later.select(cfg.entity, "date", "diagnosis"), out=SITE)
-    return pivot_sites(site_summary(tagged, cfg, SITE), cfg, SITE, sites or list(SITE_CODES))
+    summary = site_summary(tagged, cfg, SITE, values=list(SITE_CODES), dictionary=dictionary)
+    return pivot_sites(summary, cfg, SITE, sites)
 
 
 def latest_mortality(mortality: DataFrame, cfg: CohortConfig) -> DataFrame:

@@ -10,6 +10,7 @@ from cohortal import fixed
 from cohortal.functions.text import underscore_label
 from cohortal.functions.weeks import Timeline
 from cohortal.operators.contains import contains_tag
+from cohortal.operators.dictionary import CodeDictionary, ShortCodes, code_dictionary
 from cohortal.operators.joins import drop_all_null, lookup_join
 from cohortal.operators.labels import flag_cause_of_death, outcome_labels, update_labels_from_death
 from cohortal.operators.lookback import (
@@ -198,6 +199,25 @@ def latest_snapshot(spark, sf):
     return features.snapshot_features(a.snapshots(spark, sf), a.CFG, values, a.TIE_BREAK)
 
 
+# All codes of the driver tables have three characters.
+SHORT = ShortCodes()
+# Dictionaries of the code reference, made once for each folder and condition.
+_DICTIONARIES: dict[tuple, CodeDictionary] = {}
+
+
+def _codes(spark, sf, kind="all"):
+    """Dictionary of the reference's codes: of all, of a condition's, or of any site's."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _DICTIONARIES:
+        reference = a.code_reference(spark, sf)
+        if kind == "sites":
+            reference = site_tag(reference, code="alt_code")
+        elif kind != "all":
+            reference = reference.where(kind.matches(F.col("alt_code")))
+        _DICTIONARIES[key] = code_dictionary(reference, "alt_code")
+    return _DICTIONARIES[key]
+
+
 def _categorised(spark, sf):
     current = codes.current_reference(a.code_reference(spark, sf))
     return lookup_join(
@@ -214,7 +234,7 @@ _CATEGORISED = g.with_category("coded_events")
         FROM {g.ranked(_CATEGORISED, f'{ID}, {CATEGORY}', 'date, diagnosis')}""",
 )
 def first_per_group_query(spark, sf):
-    return first_per_group(_categorised(spark, sf), a.CFG, CATEGORY)
+    return first_per_group(_categorised(spark, sf), a.CFG, CATEGORY, SHORT)
 
 
 @query(
@@ -239,7 +259,8 @@ def code_prefix_filter(spark, sf):
     f"SELECT {ID}, {g.codes_text('diagnosis')} AS codes FROM coded_events GROUP BY {ID}",
 )
 def distinct_codes_query(spark, sf):
-    return codes_as_text(distinct_codes(a.events(spark, sf), ID, name="codes"))
+    found = distinct_codes(a.events(spark, sf), ID, name="codes", dictionary=_codes(spark, sf))
+    return codes_as_text(found)
 
 
 _PRIOR = "cancer_before_cut_off"
@@ -247,12 +268,14 @@ _PRIOR = "cancer_before_cut_off"
 
 @query("group_summary", g.group("coded_events", _PRIOR, g.CANCER))
 def group_summary_query(spark, sf):
-    return features.prior_condition(a.events(spark, sf), a.CFG, fixed.CANCER, same_code=False)
+    return features.prior_condition(
+        a.events(spark, sf), a.CFG, fixed.CANCER, same_code=False, dictionary=SHORT
+    )
 
 
 @query("group_summary_same_code", g.group("coded_events", _PRIOR, g.CANCER, same_code=True))
 def group_summary_same_code(spark, sf):
-    return features.prior_condition(a.events(spark, sf), a.CFG, fixed.CANCER)
+    return features.prior_condition(a.events(spark, sf), a.CFG, fixed.CANCER, dictionary=SHORT)
 
 
 @query(
@@ -291,12 +314,13 @@ def named_code_groups(spark, sf):
 @query("category_summary", g.category(_CATEGORISED))
 def category_summary_query(spark, sf):
     events = _categorised(spark, sf)
-    return category_summary(events.where(Timeline(events, a.CFG, "date").before()), a.CFG, CATEGORY)
+    past = events.where(Timeline(events, a.CFG, "date").before())
+    return category_summary(past, a.CFG, CATEGORY, dictionary=SHORT)
 
 
 @query("category_pivot", g.category_pivot(_CATEGORISED))
 def category_pivot(spark, sf):
-    return features.category_features(_categorised(spark, sf), a.CFG, a.CATEGORIES)
+    return features.category_features(_categorised(spark, sf), a.CFG, a.CATEGORIES, SHORT)
 
 
 @query(
@@ -365,7 +389,11 @@ def _tagged_later(spark, sf):
 
 @query("site_summary", g.site("site_events"))
 def site_summary_query(spark, sf):
-    return codes_as_text(site_summary(_tagged_later(spark, sf), a.CFG, features.SITE))
+    found = site_summary(
+        _tagged_later(spark, sf), a.CFG, features.SITE,
+        values=list(fixed.SITE_CODES), dictionary=_codes(spark, sf, "sites"),
+    )
+    return codes_as_text(found)
 
 
 @query(
@@ -383,12 +411,14 @@ def site_latest_anchor(spark, sf):
 
 @query("site_pivot", g.site_pivot("site_events"))
 def site_pivot(spark, sf):
-    return codes_as_text(features.site_outcomes(a.events(spark, sf), a.CFG))
+    known = _codes(spark, sf, "sites")
+    return codes_as_text(features.site_outcomes(a.events(spark, sf), a.CFG, dictionary=known))
 
 
 @query("outcome_labels", g.outcome("coded_events", "cancer", g.CANCER))
 def outcome_labels_query(spark, sf):
-    return codes_as_text(features.condition_outcome(a.events(spark, sf), a.CFG, fixed.CANCER))
+    known = _codes(spark, sf, fixed.CANCER)
+    return codes_as_text(features.condition_outcome(a.events(spark, sf), a.CFG, fixed.CANCER, known))
 
 
 @query("outcome_labels_alt", g.outcome("coded_events", "stroke", g.STROKE))
