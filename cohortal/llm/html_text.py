@@ -7,7 +7,8 @@ noscript and comments; ``hidden``, ``display:none``; closed dialogs and all but
 of closed details; text whose inherited ``visibility`` is not visible) and emits all other
 text: blocks on lines of their own, paragraphs, headings, lists and tables set off by an
 empty line, list items with bullets or numbers and indented, preformatted text as it is,
-and table cells in aligned columns.
+and table cells in aligned columns, which cells may span, as they may rows. List numbers
+follow ``start``, ``reversed`` and ``value``.
 
 Null and empty pages give an empty text. Malformed markup never fails: what is no tag is
 text. Nesting depth is bounded by memory only. Repeated rows give the same text, and an
@@ -17,6 +18,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -43,7 +45,7 @@ VOID = frozenset(
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
     "head script style template noscript title meta link iframe noembed noframes "
-    "datalist object audio video canvas".split()
+    "datalist object audio video canvas rp".split()
 )
 # An open head ends at any other start tag, and at text that is not blank.
 IN_HEAD = frozenset(
@@ -91,48 +93,84 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _end(open_: list[Node], names: tuple[str, ...], barrier: tuple[str, ...]) -> None:
-    """Close the outermost open element that has one of the names, within the barrier."""
-    cut = None
-    for i in range(len(open_) - 1, 0, -1):
-        if open_[i].name in barrier:
-            break
-        if open_[i].name in names:
-            cut = i
-    if cut is not None:
-        del open_[cut:]
-
-
-def _end_one(open_: list[Node], name: str, barrier: tuple[str, ...]) -> None:
-    """Close the innermost element of that name and what is open inside it. An inline end
-    tag closes no block: the blocks inside stay open."""
-    block = False
-    for i in range(len(open_) - 1, 0, -1):
-        if open_[i].name == name:
-            if block and name not in CLOSERS:
-                del open_[i]
-            else:
-                del open_[i:]
-            return
-        block = block or open_[i].name in BLOCKS
-        if open_[i].name in barrier:
+class Open:
+    """The open elements, innermost last, and where those of each name are.
+
+    An element closed from among others leaves a gap, so that places stay as they are.
+    Every question is answered by the last places of a few names, however deep the page.
+    """
+
+    def __init__(self, root: Node):
+        self.nodes: list[Node | None] = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.name, []).append(len(self.nodes))
+        if node.name in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, names: tuple[str, ...]) -> int:
+        """Place of the innermost element of the names; the root's if none is open."""
+        return max((at[-1] for n in names if (at := self.places.get(n))), default=0)
+
+    def close_from(self, place: int) -> None:
+        """Close an element and all inside it."""
+        while len(self.nodes) > place or self.nodes[-1] is None:
+            node = self.nodes.pop()
+            if node is not None:
+                self.places[node.name].pop()
+                if node.name in BLOCKS:
+                    self.blocks.pop()
+
+    def close_outermost(self, names: tuple[str, ...], barrier: tuple[str, ...]) -> None:
+        """Close the outermost open element that has one of the names, within the barrier."""
+        wall = self.last(barrier)
+        found = []
+        for n in names:
+            at = self.places.get(n, ())
+            first = bisect_right(at, wall)
+            found += at[first : first + 1]
+        if found:
+            self.close_from(min(found))
+
+    def close_one(self, name: str, barrier: tuple[str, ...]) -> None:
+        """Close the innermost element of that name and what is open inside it. An inline end
+        tag closes no block: the blocks inside stay open."""
+        place = self.last((name,))
+        if not place or self.last(barrier) > place:
             return
+        if name not in CLOSERS and self.blocks and self.blocks[-1] > place:
+            self.nodes[place] = None
+            self.places[name].pop()
+        else:
+            self.close_from(place)
 
 
 def build(html: str) -> Node:
     """The element tree; text nodes are strings."""
     root = Node("", {})
-    open_ = [root]
-    counts: dict[str, int] = {}
+    open_ = Open(root)
+    last_end = html.rfind(">")
     at = 0
     while True:
-        tag = TOKEN.search(html, at)
-        text = html[at : tag.start() if tag else len(html)]
+        if at <= last_end:
+            tag = TOKEN.search(html, at)
+            stop = tag.start() if tag else len(html)
+        else:
+            # No tag ends here any more; only a comment that is not closed is no text.
+            tag, stop = None, html.find("<!--", at)
+        text = html[at : stop if stop >= 0 else len(html)]
         if text:
             text = unescape(text) if "&" in text else text
-            if open_[-1].name == "head" and text.strip(" \t\n\r\f"):
-                open_.pop()
-            open_[-1].children.append(text)
+            if open_.top.name == "head" and text.strip(" \t\n\r\f"):
+                open_.close_one("head", ())
+            open_.top.children.append(text)
         if not tag:
             return root
         at = tag.end()
@@ -140,22 +178,21 @@ def build(html: str) -> Node:
         if name is None:
             ended = (tag["end"] or "").lower()
             if ended == "br":
-                if open_[-1].name == "head":
-                    open_.pop()
-                open_[-1].children.append(Node("br", {}))
-            elif counts.get(ended):
-                _end_one(open_, ended, END_BARRIER.get(ended, ()))
+                if open_.top.name == "head":
+                    open_.close_one("head", ())
+                open_.top.children.append(Node("br", {}))
+            elif ended:
+                open_.close_one(ended, END_BARRIER.get(ended, ()))
             continue
         name = name.lower()
-        counts[name] = counts.get(name, 0) + 1
-        if open_[-1].name == "head" and name not in IN_HEAD:
-            open_.pop()
-        if name in ENDS_P and counts.get("p"):
-            _end_one(open_, "p", P_BARRIER)
+        if open_.top.name == "head" and name not in IN_HEAD:
+            open_.close_one("head", ())
+        if name in ENDS_P:
+            open_.close_one("p", P_BARRIER)
         if name in ENDS:
-            _end(open_, *ENDS[name])
+            open_.close_outermost(*ENDS[name])
         node = Node(name, _attributes(tag["attrs"]) if tag["attrs"] else {})
-        open_[-1].children.append(node)
+        open_.top.children.append(node)
         if name in RAW:
             stop = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(html, at)
             inner = html[at : stop.start() if stop else len(html)]
@@ -165,7 +202,7 @@ def build(html: str) -> Node:
                 node.children.append(inner)
             at = stop.end() if stop else len(html)
         elif name not in VOID:
-            open_.append(node)
+            open_.push(node)
 
 
 class Page:
@@ -221,20 +258,72 @@ class Page:
         return self.lines
 
 
-def _aligned(rows: list[list[list[str]]]) -> list[str]:
-    """Rows of cells (lists of lines) as lines with the columns under each other."""
-    widths: list[int] = []
-    for row in rows:
-        widths.extend([0] * (len(row) - len(widths)))
-        for i, cell in enumerate(row):
-            widths[i] = max([widths[i], *map(len, cell)])
+# Lines of a cell, and the columns and rows that it spans.
+Cell = tuple[list[str], int, int]
+MOST_COLUMNS, MOST_ROWS = 1000, 65_534
+
+
+def _number(attrs: dict[str, str], name: str) -> int | None:
+    value = attrs.get(name, "").strip()
+    return int(value) if re.fullmatch(r"[-+]?\d{1,9}", value) else None
+
+
+def _span(attrs: dict[str, str], name: str, most: int) -> int:
+    """Columns or rows of a cell; ``rowspan=0`` goes on to the table's end."""
+    value = _number(attrs, name)
+    if value == 0 and name == "rowspan":
+        return most
+    return 1 if value is None or value < 1 else min(value, most)
+
+
+def _placed(rows: list[list[Cell]]) -> list[list[tuple[int, int, list[str]]]]:
+    """(first column, number of columns, lines) of each cell. A cell that spans rows keeps
+    its columns there; the cells of those rows go beside it."""
     out = []
+    taken: dict[int, int] = {}  # rows that each column is still taken for
     for row in rows:
-        for k in range(max([len(cell) for cell in row], default=0)):
-            parts = [
-                (cell[k] if k < len(cell) else "").ljust(widths[i]) for i, cell in enumerate(row)
-            ]
-            out.append("  ".join(parts).rstrip())
+        column, line, more = 0, [], {}
+        for lines, across, down in row:
+            while column in taken:
+                column += 1
+            n = 1
+            while n < across and column + n not in taken:
+                n += 1
+            line.append((column, n, lines))
+            if down > 1:
+                more.update(dict.fromkeys(range(column, column + n), down - 1))
+            column += n
+        taken = {c: k - 1 for c, k in taken.items() if k > 1} | more
+        out.append(line)
+    return out
+
+
+def _aligned(rows: list[list[Cell]]) -> list[str]:
+    """Rows of cells as lines with the columns under each other."""
+    placed = _placed(rows)
+    widths = [0] * max((c + n for row in placed for c, n, _ in row), default=0)
+    wide = []
+    for row in placed:
+        for c, n, lines in row:
+            need = max(map(len, lines), default=0)
+            if n == 1:
+                widths[c] = max(widths[c], need)
+            else:
+                wide.append((n, c, need))
+    for n, c, need in sorted(wide):
+        # The last of its columns makes room for what the others leave.
+        widths[c + n - 1] += max(0, need - sum(widths[c : c + n]) - 2 * (n - 1))
+    starts = [0]
+    for w in widths:
+        starts.append(starts[-1] + w + 2)
+    out = []
+    for row in placed:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            text = ""
+            for c, _, lines in row:
+                if k < len(lines):
+                    text = text.ljust(starts[c]) + lines[k]
+            out.append(text.rstrip())
     return out
 
 
@@ -266,8 +355,8 @@ class Renderer:
 
     def __init__(self):
         self.pages = [Page()]
-        self.tables: list[list[list[list[str]]]] = []
-        self.lists: list[list] = []  # [kind, next number]
+        self.tables: list[list[list[Cell]]] = []
+        self.lists: list[list] = []  # [kind, next number, step]
         self.pre = 0
 
     def enter(self, node: Node) -> None:
@@ -285,13 +374,20 @@ class Renderer:
             nested = name in ("ul", "ol") and bool(self.lists)
             page.block(name in SPACED and not nested)
         if name in ("ul", "ol"):
-            start = node.attrs.get("start", "")
-            self.lists.append([name, int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1])
+            backwards = name == "ol" and "reversed" in node.attrs
+            start = _number(node.attrs, "start")
+            if start is None:
+                start = 1
+                if backwards:
+                    start = sum(isinstance(c, Node) and c.name == "li" for c in node.children)
+            self.lists.append([name, start, -1 if backwards else 1])
         elif name == "li":
             marker = "- "
             if self.lists and self.lists[-1][0] == "ol":
-                marker = f"{self.lists[-1][1]}. "
-                self.lists[-1][1] += 1
+                value = _number(node.attrs, "value")
+                number = self.lists[-1][1] if value is None else value
+                marker = f"{number}. "
+                self.lists[-1][1] = number + self.lists[-1][2]
             page.indents.append(" " * len(marker))
             page.marker = marker
         elif name in ("dd", "blockquote"):
@@ -308,7 +404,8 @@ class Renderer:
             cell = self.pages.pop().finish()
             if not self.tables[-1]:
                 self.tables[-1].append([])
-            self.tables[-1][-1].append(cell)
+            across = _span(node.attrs, "colspan", MOST_COLUMNS)
+            self.tables[-1][-1].append((cell, across, _span(node.attrs, "rowspan", MOST_ROWS)))
             return
         page = self.pages[-1]
         if name == "table":

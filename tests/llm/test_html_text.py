@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import time
 from html import unescape
 
 import pytest
@@ -63,6 +65,67 @@ def test_deep_and_long_pages():
     html_text.visible_text("<" * 20_000 + "!--" * 2000)
 
 
+def test_page_of_a_million_characters():
+    for page in ("<p>x</p>" + "<div>" * 200_000, '<a "' * 250_000, "<p><button>" + "<div>" * 200_000,
+                 "<!" * 500_000, "<td>" * 250_000 + "</td>" * 5, "<b><p>" * 170_000 + "</b>" * 20):
+        start = time.process_time()
+        html_text.visible_text(page)
+        assert time.process_time() - start < 20, page[:20]
+    start = time.process_time()
+    html_text.build("<p>x</p>" + "<div>" * 200_000)
+    html_text.build('<a "' * 250_000)
+    assert time.process_time() - start < 5
+
+
+class SlowOpen(html_text.Open):
+    """The open elements as a plain list, searched from its end for every question."""
+
+    def push(self, node):
+        self.nodes.append(node)
+
+    def close_from(self, place):
+        del self.nodes[place:]
+
+    def close_outermost(self, names, barrier):
+        cut = None
+        for i in range(len(self.nodes) - 1, 0, -1):
+            if self.nodes[i].name in barrier:
+                break
+            cut = i if self.nodes[i].name in names else cut
+        if cut is not None:
+            del self.nodes[cut:]
+
+    def close_one(self, name, barrier):
+        block = False
+        for i in range(len(self.nodes) - 1, 0, -1):
+            if self.nodes[i].name == name:
+                if block and name not in html_text.CLOSERS:
+                    del self.nodes[i]
+                else:
+                    del self.nodes[i:]
+                return
+            block = block or self.nodes[i].name in html_text.BLOCKS
+            if self.nodes[i].name in barrier:
+                return
+
+
+def test_generated_pages_against_a_slow_tree_builder(monkeypatch):
+    rng = random.Random(5)
+    names = "p div b i ul li table tr td th thead head body button select option dl dt dd a".split()
+    pages = []
+    for _ in range(1500):
+        parts = [
+            rng.choice(["x", " ", "<br>", "</br>", "<!-- c -->"]) if rng.random() < 0.3
+            else f"<{rng.choice(['', '', '/'])}{rng.choice(names)}>"
+            for _ in range(rng.randint(1, 40))
+        ]
+        pages.append("".join(parts))
+    texts = [html_text.visible_text(page) for page in pages]
+    monkeypatch.setattr(html_text, "Open", SlowOpen)
+    for page, text in zip(pages, texts):
+        assert html_text.visible_text(page) == text, page
+
+
 def test_query_has_all_text_of_every_page(spark):
     pages = {r["page_id"]: r["html"] for r in table(spark, "pages").collect()}
     rows = registry.QUERIES["op5_html_layout_text"](spark, SF).collect()
