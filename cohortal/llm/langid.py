@@ -38,7 +38,13 @@ BYTES_AT_ONCE = 1 << 22
 UNKNOWN = "und"
 HASHES = 2**30
 
-LETTER = re.compile(r"[^\W\d_]")
+WORD_CHARACTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter. Fractions, Roman numerals and the like, which
+    count as word characters, are none."""
+    return any(found.group().isalpha() for found in WORD_CHARACTER.finditer(text))
 
 
 class Network(NamedTuple):
@@ -329,7 +335,7 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
         for batch in batches:
             langs, scores, maps = [], [], []
             for group in groups(batch.column(batch.schema.get_field_index("text"))):
-                lettered = [bool(net.langs) and bool(LETTER.search(t)) for t in group]
+                lettered = [bool(net.langs) and has_letter(t) for t in group]
                 raw = [
                     t.encode("utf-8", "surrogatepass") if ok else b""
                     for t, ok in zip(group, lettered)

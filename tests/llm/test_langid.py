@@ -101,3 +101,10 @@ def test_quotas():
     assert langid.quota([5, 100, 200], 65) == 30
     assert langid.quota([5, 6], 100) == 6 and langid.quota([], 9) == 1
     assert langid.quota([9] * 20, 10) == 1
+
+
+def test_what_is_no_letter_has_no_language():
+    for text in ("½ ² ①", "Ⅷ", "12 _ !", "", "\u0301"):
+        assert not langid.has_letter(text), text
+    for text in ("½ a", "ª", "中", "ʰ"):
+        assert langid.has_letter(text), text
