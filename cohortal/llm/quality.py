@@ -1,8 +1,8 @@
 """Quality rules: hashed n-gram logistic regression beside counting rules.
 
 The rules count words, symbols, repeated lines and repeated word windows of whole texts.
-The model averages one weight per hashed word, word pair and byte n-gram (1 to 3) over a
-text; a repeated word counts as the pair "same". It is trained on labelled rows, at most
+The model averages one weight per hashed word, word pair and n-gram of 1 to 3 characters
+(code points) over a text; a repeated word counts as the pair "same". It is trained on labelled rows, at most
 ``MOST_LABELLED`` of them, four fifths for the weights and one fifth to calibrate the
 margin to a probability (Platt). A document is kept if no rule fails it and the
 probability reaches ``KEEP_FROM``.
@@ -15,6 +15,7 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +29,7 @@ from cohortal.llm.sparse import Adam, Sparse, labelled_sample, sigmoid
 MOST_LABELLED = 4_000
 BITS = 16
 BUCKETS = 1 << BITS
-KINDS = 5  # words, word pairs, byte n-grams of 1, 2 and 3
+KINDS = 5  # words, word pairs, character n-grams of 1, 2 and 3
 STEPS = 150
 PENALTY = 1e-4
 SCALE = 20.0
@@ -36,7 +37,7 @@ KEEP_FROM = 0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-PIECE_BYTES = 1 << 20
+PIECE = 1 << 20  # characters
 
 _SEEDS = np.random.default_rng(6).integers(0, 2**63, size=KINDS, dtype=np.uint64) | np.uint64(1)
 _SAME = np.uint64(0x5EED)
@@ -55,23 +56,24 @@ def _word_buckets(hashes: np.ndarray) -> Iterator[np.ndarray]:
         yield _bucket(np.where(same, _SAME, mixed(pairs)), 1)
 
 
-def _byte_buckets(raw: bytes) -> Iterator[np.ndarray]:
-    """Buckets of the byte n-grams, piece by piece so that long texts need little memory."""
-    data = np.frombuffer(raw, dtype=np.uint8)
-    for at in range(0, len(data), PIECE_BYTES):
-        x = data[at : at + PIECE_BYTES + 2].astype(np.uint64)
-        end = min(PIECE_BYTES, len(data) - at)
+def _character_buckets(text: str) -> Iterator[np.ndarray]:
+    """Buckets of the character n-grams, piece by piece so that long texts need little
+    memory. A code point has 21 bits, so three of them fit one number."""
+    for at in range(0, len(text), PIECE):
+        points = text[at : at + PIECE + 2].encode("utf-32-le", "surrogatepass")
+        x = np.frombuffer(points, dtype="<u4").astype(np.uint64)
+        end = min(PIECE, len(text) - at)
         code = x
         for n in (1, 2, 3):
             if n > 1:
-                code = code[:-1] * np.uint64(256) + x[n - 1 :]
+                code = (code[:-1] << np.uint64(21)) + x[n - 1 :]
             if len(code):
-                yield _bucket(code[:end], n + 1)
+                yield _bucket(code[:end] + np.uint64(1), n + 1)
 
 
-def features(raw: bytes, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def features(text: str, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets and the share of the text's n-grams that falls into each."""
-    found = [*_word_buckets(hashes), *_byte_buckets(raw)] if raw else []
+    found = [*_word_buckets(hashes), *_character_buckets(text)]
     if not found:
         return np.empty(0, np.int64), np.empty(0)
     counts = np.bincount(np.concatenate(found), minlength=BUCKETS)
@@ -85,12 +87,11 @@ class Model(NamedTuple):
     slope: float
     offset: float
 
-    def probability(self, raw: bytes, hashes: np.ndarray) -> float:
+    def probability(self, text: str, hashes: np.ndarray) -> float:
         total, n = 0.0, 0
-        if raw:
-            for at in (*_word_buckets(hashes), *_byte_buckets(raw)):
-                total += float(self.weights[at].sum(dtype=np.float64))
-                n += len(at)
+        for at in chain(_word_buckets(hashes), _character_buckets(text)):
+            total += float(self.weights[at].sum(dtype=np.float64))
+            n += len(at)
         margin = self.bias + SCALE * total / max(1, n)
         return float(sigmoid(self.slope * margin + self.offset))
 
@@ -137,9 +138,10 @@ def train(
         known = WordHashes()
         for batch in batches:
             out = []
-            for text in batch.column("text"):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                at, value = features(raw, _hashes(raw.split(), known))
+            for value in batch.column("text"):
+                text = value.as_py() or ""
+                words = text.encode("utf-8", "surrogatepass").split()
+                at, value = features(text, _hashes(words, known))
                 out.append((at.astype("<i4").tobytes(), value.astype("<f4").tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -151,7 +153,15 @@ def train(
                 names=["doc_id", "y", "at", "value"],
             )
 
-    rows = sample.mapInArrow(hashed, "doc_id bigint, y int, at binary, value binary").collect()
+    schema = T.StructType(
+        [
+            sample.schema["doc_id"],
+            T.StructField("y", T.IntegerType()),
+            T.StructField("at", T.BinaryType()),
+            T.StructField("value", T.BinaryType()),
+        ]
+    )
+    rows = sample.mapInArrow(hashed, schema).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["at"]))
     found = [(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["value"], "<f4")) for r in rows]
     return fit(found, np.array([r["y"] for r in rows], dtype=np.float64))
@@ -219,7 +229,7 @@ def judge(docs: DataFrame, model: Model, *, keep_from: float = KEEP_FROM) -> Dat
                 words = raw.split()
                 hashes = _hashes(words, known)
                 rows.append(counts(text, raw, words, hashes))
-                odds.append(model.probability(raw, hashes))
+                odds.append(model.probability(text, hashes))
             table = np.array(rows, dtype=np.int64).reshape(-1, len(COUNTS))
             failed = (table[:, 0] < MIN_WORDS) | (
                 100 * table[:, 4] > MAX_REPEAT_PERCENT * table[:, 0]

@@ -65,12 +65,22 @@ def test_edge_rows(spark):
     assert quality.judge(spark.createDataFrame([], SCHEMA), model).count() == 0
 
 
+def test_n_grams_are_of_characters():
+    """One bucket for each character, pair and triple, whatever bytes they take."""
+    for text in ("abca", "éa中é", "\U0001f600x\U0001f600y"):
+        singles, pairs, triples = quality._character_buckets(text)
+        assert (len(singles), len(pairs), len(triples)) == (4, 3, 2)
+        different = [len(set(text)), len({text[i : i + 2] for i in range(3)}), 2]
+        assert [len(set(x.tolist())) for x in (singles, pairs, triples)] == different
+    assert list(quality._character_buckets("")) == []
+
+
 def test_long_texts_are_scored_in_pieces(monkeypatch):
-    raw = bytes(range(32, 127)) * 40
+    text = "".join(map(chr, [*range(32, 127), 0xE9, 0x4E2D, 0x1F600])) * 40
     hashes = np.arange(50, dtype=np.uint64)
     model = quality.Model(np.random.default_rng(0).normal(size=quality.BUCKETS), 0.0, 1.0, 0.0)
-    whole, at = model.probability(raw, hashes), quality.features(raw, hashes)
-    monkeypatch.setattr(quality, "PIECE_BYTES", 100)
-    assert abs(model.probability(raw, hashes) - whole) < 1e-9
-    pieces = quality.features(raw, hashes)
+    whole, at = model.probability(text, hashes), quality.features(text, hashes)
+    monkeypatch.setattr(quality, "PIECE", 100)
+    assert abs(model.probability(text, hashes) - whole) < 1e-9
+    pieces = quality.features(text, hashes)
     assert (pieces[0] == at[0]).all() and np.allclose(pieces[1], at[1])
