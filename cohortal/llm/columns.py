@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,24 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def shielded(
+    docs: DataFrame, needed: list[str], run: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``run`` on the documents, with all columns but the needed ones under names that no
+    operator uses, and their own names again in the result.
+
+    So columns of the user never meet those an operator works with. Where a result has the
+    name of a column, in whatever case, the result stays.
+    """
+    others = [c for c in docs.columns if c.lower() not in {n.lower() for n in needed}]
+    hidden = {f"__user_column_{i}__": c for i, c in enumerate(others)}
+    names = {c: h for h, c in hidden.items()}
+    out = run(docs.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in docs.columns]))
+    made = {c.lower() for c in out.columns if c not in hidden}
+    back = [c for c in out.columns if c not in hidden or hidden[c].lower() not in made]
+    return out.select(*[F.col(f"`{c}`").alias(hidden.get(c, c)) for c in back])
+
+
 def hashed_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     """At most ``most`` rows, those whose ``key`` has the lowest hashes.
 

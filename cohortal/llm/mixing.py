@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortal.llm.columns import running_total, whole_text, word_count
+from cohortal.llm.columns import free_name, running_total, shielded, whole_text, word_count
 from cohortal.sources.tables import stage
 
 WEIGHTS = (3, 1, 2)
@@ -133,9 +133,31 @@ def mix(
     block: int = BLOCK_WORDS,
     size: Callable[[Column], Column] = word_count,
 ) -> Mix:
-    """The documents with their numbers, and the schedule of the mix."""
+    """The documents with their numbers, and the schedule of the mix.
+
+    Columns ``row``, ``size``, ``source_size`` and ``target`` are replaced; others stay.
+    """
+    schedules = []
+
+    def run(own: DataFrame) -> DataFrame:
+        made = _mix(own, weights, share, most, block, size)
+        schedules.append(made.schedule)
+        return made.documents
+
+    documents = shielded(docs, ["doc_id", "text", "source"], run)
+    return Mix(documents, schedules[0])
+
+
+def _mix(
+    docs: DataFrame,
+    weights: dict[str | None, int] | None,
+    share: Fraction,
+    most: int,
+    block: int,
+    size: Callable[[Column], Column],
+) -> Mix:
     spark = docs.sparkSession
-    named = docs.drop("row", "size", "source_size", "target", "sid")
+    named = docs
     sized = stage(
         named.withColumns(
             {"row": F.monotonically_increasing_id(), "size": size(whole_text())}
@@ -222,11 +244,13 @@ def mix(
 
 def taken_words(mixed: Mix) -> DataFrame:
     """Every document with ``taken``, the words the mix takes of it, repeats counted."""
-    taken = mixed.schedule.groupBy(F.col("row").alias("_row")).agg(F.sum("words").alias("taken"))
+    at = free_name(mixed.documents, "_row")
+    documents = mixed.documents.drop("taken")
+    taken = mixed.schedule.groupBy(F.col("row").alias(at)).agg(F.sum("words").alias("taken"))
     return (
-        mixed.documents.join(taken, F.col("row") == F.col("_row"), "left")
+        documents.join(taken, F.col("row") == F.col(at), "left")
         .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("bigint"))
-        .drop("_row")
+        .drop(at)
     )
 
 
@@ -235,7 +259,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Blocks are taken in line order, so in each lap all documents of a source are whole
     but the one where the source's share ends; that one is cut to the words taken.
+    All columns stay, whatever their names.
     """
+    return shielded(docs, ["doc_id", "text", "source"], lambda own: _mixed(own, options))
+
+
+def _mixed(docs: DataFrame, options: dict) -> DataFrame:
     tagged = stage(docs.withColumn("_doc", F.monotonically_increasing_id()), "documents")
     mixed = mix(tagged, **options)
     laps = (

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortal.llm.columns import hashed_sample, whole_text
+from cohortal.llm.columns import hashed_sample, shielded, whole_text
 
 # Fixed patterns. A match counts only if its value is long enough, see ``found_spans``.
 ASSIGN = (
@@ -205,7 +205,14 @@ def _joined(spans: Column) -> Column:
 
 def scan(docs: DataFrame, table: list[float]) -> DataFrame:
     """One row per document: its columns but the text, the number of spans of each fixed
-    kind and of ``random`` ones, a digest of the former and a list of all."""
+    kind and of ``random`` ones, a digest of the former and a list of all.
+
+    Columns of ``docs`` with the names of results are replaced; all others stay.
+    """
+    return shielded(docs, ["text"], lambda own: _scan(own, table))
+
+
+def _scan(docs: DataFrame, table: list[float]) -> DataFrame:
     found = found_spans(docs, table)
     columns = [c for c in found.columns if c not in ("kind", "start", "end", "match", "ok")]
     span = F.when(F.col("ok"), F.struct("start", "kind", "end"))
