@@ -24,6 +24,32 @@ def test_thresholds_are_ordered_and_grades_recovered():
     assert np.corrcoef(expected, grades[2000:])[0, 1] > 0.85
 
 
+def loss(model, rows, grades, levels):
+    """Penalised negative log-likelihood, one row and one grade at a time."""
+    weight = dict(zip(model.buckets.tolist(), model.weights.tolist()))
+    total = 0.0
+    for row, grade in zip(rows, grades):
+        score = sum(weight.get(b, 0.0) for b in row.tolist())
+        above = [1.0, *(1 / (1 + np.exp(t - score)) for t in model.thresholds), 0.0]
+        total -= np.log(above[grade] - above[grade + 1])
+    return total / len(rows) + ordinal.PENALTY / 2 * float((model.weights**2).sum())
+
+
+def test_fit_against_a_brute_force_likelihood():
+    """No small step from the fitted weights and thresholds gives a better likelihood."""
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 12, 5)) for _ in range(300)]
+    latent = np.array([(r < 4).sum() - (r > 8).sum() for r in rows]) + rng.logistic(0, 1, 300)
+    grades = np.digitize(latent, [-1, 1])
+    model = ordinal.fit(Sparse(rows), grades, 3)
+    best = loss(model, rows, grades, 3)
+    for _ in range(200):
+        step = rng.normal(0, 0.05, len(model.weights))
+        shift = rng.normal(0, 0.05, len(model.thresholds))
+        other = ordinal.Ordinal(model.buckets, model.weights + step, model.thresholds + shift)
+        assert loss(other, rows, grades, 3) > best - 2e-3
+
+
 def test_held_out_grades(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
