@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortal.llm import shingles as S
+from cohortal.llm.columns import shielded
 from cohortal.llm.components import components
+from cohortal.llm.workers import per_task
 from cohortal.sources.tables import stage
 
 # 100 * intersection >= 75 * union
@@ -74,7 +76,7 @@ def sketched(docs: DataFrame) -> DataFrame:
         ]
     )
     rows = docs.select("doc_id", F.expr(TEXT_KEY).alias("text_key"), "text")
-    return rows.mapInArrow(_sketches, schema)
+    return rows.mapInArrow(per_task(_sketches), schema)
 
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,14 +123,14 @@ def confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             F.least("n_a", "n_b") * DENOMINATOR >= F.greatest("n_a", "n_b") * NUMERATOR
         )
     )
-    likely = stage(sized.mapInArrow(_likely, "a bigint, b bigint"), "likely")
+    likely = stage(sized.mapInArrow(per_task(_likely), "a bigint, b bigint"), "likely")
     texts = classes.select("node", "text")
     full = (
         likely.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
         .join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
         .select("a", "b", "text_a", "text_b")
     )
-    return stage(full.mapInArrow(_confirmed, "a bigint, b bigint"), "links")
+    return stage(full.mapInArrow(per_task(_confirmed), "a bigint, b bigint"), "links")
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +187,7 @@ def _settling_pairs(open_classes: DataFrame) -> DataFrame:
     """
     schema = "node bigint, label bigint, n bigint, shingle bigint"
     rows = stage(
-        open_classes.select("node", "label", "text").mapInArrow(_shingles, schema), "shingles"
+        open_classes.select("node", "label", "text").mapInArrow(per_task(_shingles), schema), "shingles"
     )
     mixed = (F.min("label") != F.max("label")).alias("mixed")
     counts = stage(rows.groupBy("shingle").agg(F.count("*").alias("sets"), mixed), "counts")
@@ -325,7 +327,12 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """Of each component the documents whose id names it; all columns unchanged.
 
     One document stays of each component unless several of its rows have that same id.
+    Columns beside doc_id and text stay, whatever their names.
     """
+    return shielded(docs, ["doc_id", "text"], _drop_near_copies)
+
+
+def _drop_near_copies(docs: DataFrame) -> DataFrame:
     dropped = near_components(docs).where("not kept").select("doc_id", "text_key").distinct()
     dropped = stage(dropped.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), "dropped")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.expr(TEXT_KEY) == F.col("_key"))

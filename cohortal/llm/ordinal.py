@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortal.llm.sparse import Adam, Sparse, labelled_sample, sigmoid
+from cohortal.llm.workers import per_task
 
 MOST_LABELLED = 20_000
 BUCKETS = 1 << 18
@@ -155,7 +156,7 @@ def grade(docs: DataFrame, model: Ordinal, *, keep_from: float = KEEP_FROM) -> D
             columns = [*batch.columns, pa.array(tails.sum(axis=1)), pa.array(top)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    graded = docs.mapInArrow(score, schema)
+    graded = docs.mapInArrow(per_task(score), schema)
     return graded.withColumn("kept", F.col("tail_probability") >= keep_from)
 
 

@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from cohortal.llm.workers import per_task
+
 CAPACITY = 2048
 OPEN_BINS = 1024
 BUFFER = 2000
@@ -47,10 +49,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str, ranks_path: str | None = None, added: bool = False):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not added
+        self.tokenizer = _tokenizer(path, added)
         tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
         self.added = [t.content for t in tokens]
         self.known: dict[str, tuple[int, ...]] = {}
@@ -90,6 +89,17 @@ class WordTokenizer:
         return np.array(self._encode([text])[0], dtype="<u4")
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str, added: bool):
+    """The tokenizer itself stays in a worker; the words it has met do not."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = not added
+    return tokenizer
+
+
+@lru_cache(maxsize=1)
 def _rank_encoding(path: str):
     import public_tokenizers
     import tiktoken
@@ -101,11 +111,6 @@ def _rank_encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str, ranks_path: str | None) -> WordTokenizer:
-    return WordTokenizer(path, ranks_path, added=True)
-
-
 class Packer:
     """Places lengths into bins; ``put`` returns the bin's number and the offset in it."""
 
@@ -179,7 +184,7 @@ def pack(
     )
 
     def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _tokenizer(tokenizer_path, ranks_path)
+        words = WordTokenizer(tokenizer_path, ranks_path, added=True)
         packer = Packer(capacity, open_bins, TaskContext.get().partitionId() << 36)
         held: list[tuple[int, int, int, bytes, object]] = []
 
@@ -218,4 +223,4 @@ def pack(
             yield placed()
 
     names = schema.names
-    return docs.select(id_column, "text").mapInArrow(pack_partition, schema)
+    return docs.select(id_column, "text").mapInArrow(per_task(pack_partition), schema)

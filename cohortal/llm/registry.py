@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from functools import wraps
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from cohortal.llm import (
     ordinal,
     packing,
     periodic_runs,
+    pipeline,
     quality,
     secrets,
     suffix_dedup,
@@ -237,6 +237,6 @@ def op13(spark, sf):
     )
 
 
-@query("pipeline", corpus_pipeline.ORACLE_SQL)
-def pipeline(spark, sf):
-    return corpus_pipeline.run(spark, sf)
+@query("pipeline", pipeline.ORACLE_SQL)
+def all_stages(spark, sf):
+    return pipeline.run(spark, sf)
