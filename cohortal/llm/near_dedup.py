@@ -211,7 +211,7 @@ def _settling_pairs(open_classes: DataFrame) -> DataFrame:
         .select(F.monotonically_increasing_id().alias("set"), "common", "least", "mixed"),
         "sets",
     )
-    listed = stage(members.join(sets, "common").select("set", "node", "label"), "listed")
+    listed = stage(members.join(sets, "common").select("set", "node", "label", "n"), "listed")
     shared = stage(
         sets.select(
             "set", "mixed", "least.n", "least.label",
@@ -230,7 +230,7 @@ def _settling_pairs(open_classes: DataFrame) -> DataFrame:
     # Of two such sets, the members of the one whose smallest class is larger meet the
     # smallest class of the other. That class is also linked with those members of its own
     # set that are linked with the other set, as no class of the other set is smaller.
-    smallest = sets.select("set", "least", F.col("least.n").alias("size_least"))
+    smallest = sets.select("set", "least", F.col("least.n").alias("size_least"), "common")
     x, y = smallest.alias("x"), smallest.alias("y")
     swapped = F.col("x.size_least") < F.col("y.size_least")
     towards = (
@@ -239,11 +239,16 @@ def _settling_pairs(open_classes: DataFrame) -> DataFrame:
         .select(
             F.when(swapped, F.col("b")).otherwise(F.col("a")).alias("set"),
             F.when(swapped, F.col("x.least")).otherwise(F.col("y.least")).alias("least"),
+            F.size(F.array_intersect("x.common", "y.common")).alias("k"),
         )
-        .union(sets.select("set", "least"))
+        .union(sets.select("set", "least", F.size("common")))
     )
+    # What two sets share, counted once for each pair of them, decides: a pair that is not
+    # similar by its common shingles alone shares a rare one, and was found by that.
+    by_common = F.col("k") * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("least.n")) * NUMERATOR
     to_least = (
         listed.join(towards, "set")
+        .where(by_common)
         .where((F.col("node") != F.col("least.node")) & (F.col("label") != F.col("least.label")))
         .select(
             F.least("node", "least.node").alias("a"), F.greatest("node", "least.node").alias("b")
