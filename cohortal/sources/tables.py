@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
@@ -171,13 +172,32 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{run}/{unique}/{name}" if run else f"{staging_folder(spark)}/cohortal-{unique}/{name}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of a query that runs in the block as soon as it ends.
+
+    Else they lie on the executors' disks until the driver's garbage collector finds the
+    query. The session's own setting is put back.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several consumers read, and read it back.
 
     It survives lost executors and, unlike a cached table, filters and column
-    lists of the consumers reach its scan.
+    lists of the consumers reach its scan. What was shuffled for it is removed.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
