@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 _RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
@@ -200,4 +201,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(spark, name)
     with _shuffles_removed(spark):
         df.write.parquet(path)
+    made = _STAGED.get()
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_alone(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Stage the table that ``build`` returns, and remove the tables staged on the way to it.
+
+    Nothing that is read later may depend on those.
+    """
+    made: list[str] = []
+    token = _STAGED.set(made)
+    try:
+        out = stage(build(), name)
+    finally:
+        _STAGED.reset(token)
+    kept, outer = made.pop(), _STAGED.get()
+    if outer is not None:
+        outer.append(kept)
+    for path in made:
+        remove_folder(out.sparkSession, path)
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a staged table, as ``stage`` returned it, that nothing reads any more."""
+    for file in table.inputFiles()[:1]:
+        remove_folder(table.sparkSession, file.rsplit("/", 1)[0])

@@ -8,6 +8,7 @@ import pytest
 from conftest import same_rows
 from pyspark.sql import functions as F
 
+from cohortal.sources import tables
 from cohortal.sources.tables import (
     SchemaChanged,
     overwrite_partitions,
@@ -89,3 +90,22 @@ def test_a_writer_lost_between_the_renamings(spark, path):
     write_table(rows(spark, 3), path)
     assert read_table(spark, path).count() == 3
     assert not recover_table(spark, path + "_none") and not recover_table(spark, path + "/a/b")
+
+
+def test_staged_alone(spark):
+    """Tables staged on the way are removed, others stay; the session's setting too."""
+    before = spark.conf.get(tables.SHUFFLE_CLEANUP, None)
+    first = tables.stage(spark.range(10), "first")
+    inner = []
+
+    def build():
+        inner.append(tables.stage(first.where("id > 3"), "inner"))
+        return inner[0].groupBy((inner[0].id % 2).alias("odd")).count()
+
+    out = tables.stage_alone(build, "out")
+    assert {tuple(r) for r in out.collect()} == {(0, 3), (1, 3)}
+    assert first.count() == 10
+    assert not tables.table_exists(spark, inner[0].inputFiles()[0])
+    tables.discard(first)
+    assert not tables.table_exists(spark, first.inputFiles()[0].rsplit("/", 1)[0])
+    assert spark.conf.get(tables.SHUFFLE_CLEANUP, None) == before
