@@ -313,7 +313,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     still_open = labelled.join(mixed, "bucket", "left_semi").select("node", "label").distinct()
     more = confirmed(_settling_pairs(fetched.join(still_open, "node")), fetched)
 
-    roots = components(links.union(more))
+    # What the first links joined goes in as stars, which are nearly components already.
+    roots = components(roots.union(more))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     # Written, so that the join below shuffles both sides and a large class can be split.
