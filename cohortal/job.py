@@ -20,7 +20,7 @@ from cohortal import fixed
 from cohortal.config import CohortConfig
 from cohortal.operators.longlist import row_hash
 from cohortal.plans import build, codes, cohort, exclusions, features
-from cohortal.sources.tables import stage, staged_run, write_table
+from cohortal.sources.tables import stage, stage_bucketed, staged_run, write_table
 
 
 class Datasets:
@@ -45,7 +45,7 @@ class Datasets:
         wide = build.wide_person(
             self.ready, self.cfg, categories=self.categories, tie_break=self.tie_break
         )
-        return stage(wide, "expanded")
+        return stage_bucketed(wide, "expanded", self.cfg.entity)
 
     @cached_property
     def categories(self) -> list[str]:

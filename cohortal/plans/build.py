@@ -5,6 +5,10 @@ read it. All of them need only the span of each (person, code) on either side of
 the cut-off, so the build keeps just that: one pass over the activity tables, one
 shuffle, one staged table. Removing same-day duplicates first would be a second
 shuffle with the same result, as spans do not change under duplicates.
+
+Spans are staged in buckets of their person, a table with at most one row per code for each
+person, and so is the person table. Their readers group and join by person without moving
+them again. The activity tables are not: a person can have a third of all events.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from cohortal.operators.summary import (
     summarise_sites,
 )
 from cohortal.plans import cohort, codes, features
-from cohortal.sources.tables import read_table, stage
+from cohortal.sources.tables import read_table, stage, stage_bucketed
 
 
 @dataclass(frozen=True)
@@ -97,7 +101,8 @@ def prepare(
         codes.emergency_code_rows(sources.emergency, code_map, cfg),
         cfg,
     )
-    return Prepared(sources, stage(spans_around(events, cfg), "spans"), outpatient)
+    spans = stage_bucketed(spans_around(events, cfg), "spans", cfg.entity)
+    return Prepared(sources, spans, outpatient)
 
 
 def prior_condition(ready: Prepared, cfg: CohortConfig, rule: ConditionRule) -> DataFrame:
@@ -202,7 +207,7 @@ def stage_people(
         tie_break=tie_break,
     )
     needed = [*fixed.model_columns(cfg, death_label=False), *RULE_COLUMNS]
-    return stage(wide.select(*needed), "people")
+    return stage_bucketed(wide.select(*needed), "people", cfg.entity)
 
 
 def cancer_exclusions(ready: Prepared, people: DataFrame, cfg: CohortConfig) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
+MAX_BUCKETS = "spark.sql.sources.bucketing.maxBuckets"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 _RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
@@ -191,6 +193,12 @@ def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+def _note_staged(path: str) -> None:
+    made = _STAGED.get()
+    if made is not None:
+        made.append(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several consumers read, and read it back.
 
@@ -201,12 +209,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(spark, name)
     with _shuffles_removed(spark):
         df.write.parquet(path)
-    made = _STAGED.get()
-    if made is not None:
-        made.append(path)
+    _note_staged(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``stage``, with the rows of a key in one bucket, so that consumers which group or
+    join by the key read the table where it lies.
+
+    There are as many buckets as shuffle partitions, hashed alike, so that other tables
+    shuffled by the key meet it as they are. Rows move to their bucket before they are
+    written (not at all if they lie by the key already), one file for each bucket. All rows
+    of a key, null too, go through one task: this is for tables whose rows per key are
+    bounded, as codes of a person, not for raw events.
+
+    Spark keeps buckets for tables with a name only. The name is dropped at once; as the
+    table is external its files stay, and the DataFrame returned goes on reading them.
+    """
+    spark = df.sparkSession
+    path = stage_path(spark, name)
+    buckets = int(spark.conf.get(SHUFFLE_PARTITIONS))
+    buckets = max(1, min(buckets, int(spark.conf.get(MAX_BUCKETS, "100000"))))
+    table = f"spark_catalog.default.cohortal_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.format("parquet").option("path", path)
+    with _shuffles_removed(spark):
+        writer.bucketBy(buckets, key).saveAsTable(table)
+    try:
+        _note_staged(path)
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def stage_alone(build: Callable[[], DataFrame], name: str) -> DataFrame:
     """Stage the table that ``build`` returns, and remove the tables staged on the way to it.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from cohortal import fixed
 from cohortal.operators.exclude import exclude
 from cohortal.plans import build, cohort, exclusions
-from cohortal.sources.tables import stage
+from cohortal.sources.tables import stage_bucketed
 from registry import adapters as a
 from registry import sqlgen as g
 from registry.catalog import codes_as_text, query
@@ -76,7 +76,7 @@ def exclusion_reasons_alt(spark, sf):
 def cancer_cohort(spark, sf):
     """Whole rows of the people who stay, with the labels raised by deaths."""
     ready = _ready(spark, sf)
-    wide = stage(_expanded(ready), "expanded")
+    wide = stage_bucketed(_expanded(ready), "expanded", ID)
     listed = build.cancer_exclusions(ready, wide, a.CFG)
     return codes_as_text(cohort.cancer_cohort(wide, listed, a.CFG))
 
@@ -85,7 +85,7 @@ def cancer_cohort(spark, sf):
 def stroke_cohort(spark, sf):
     """Whole rows of the people who stay."""
     ready = _ready(spark, sf)
-    wide = stage(_expanded(ready), "expanded")
+    wide = stage_bucketed(_expanded(ready), "expanded", ID)
     listed = build.stroke_exclusions(ready, wide, a.CFG)
     return codes_as_text(cohort.stroke_cohort(wide, listed, a.CFG))
 
