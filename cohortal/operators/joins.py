@@ -125,10 +125,18 @@ def left_join_all(person: DataFrame, tables: list[DataFrame], key: str) -> DataF
 
     All sides cluster on the key, so the person table is shuffled once and every
     aggregate that is already partitioned by the key is joined where it lies.
+
+    The columns of a table pass the joins as one struct. Else each join would copy, in code
+    of its own that every task makes anew, all columns that the joins before it have added.
     """
-    for table in tables:
-        person = person.join(table, key, "left")
-    return person
+    mine = [c for c in person.columns if c != key]
+    read = [F.col(f"`{c}`") for c in [key, *mine]]
+    for i, table in enumerate(tables):
+        added = [c for c in table.columns if c != key]
+        columns = F.struct(*[F.col(f"`{c}`") for c in added]).alias(f"_joined{i}")
+        person = person.join(table.select(key, columns), key, "left")
+        read += [F.col(f"_joined{i}")[c].alias(c) for c in added]
+    return person.select(*read)
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortal.config import CohortConfig
 from cohortal.functions.weeks import Timeline, flag
@@ -33,6 +34,8 @@ DATE = "date"
 CODE = "diagnosis"
 # Column names of spans, for the summaries that also read raw events.
 SPAN = {"first": "first_seen", "last": "last_seen", "code": "code"}
+# Column of a person's values, before they become columns.
+BY_VALUE = "_by_value"
 
 
 def code_spans(
@@ -286,34 +289,66 @@ def site_summary(
     return summarise_sites(code_spans(tagged, [cfg.entity, site]), cfg, site)
 
 
+def value_maps(
+    summary: DataFrame,
+    entity: str,
+    column: str,
+    values: list[str],
+    fields: dict[str, Column],
+    out: str = BY_VALUE,
+) -> DataFrame:
+    """One row per person with a map from each declared value to its fields.
+
+    The summary holds one row per person and value, so nothing is left to add up. It moves
+    to its person as it is, and the result lies partitioned for the final join. People
+    without a declared value give no row.
+    """
+    declared = summary.where(F.col(column).isin(values)).repartition(entity)
+    entry = F.struct(column, F.struct(*[c.alias(n) for n, c in fields.items()]).alias("fields"))
+    return declared.groupBy(entity).agg(F.map_from_entries(F.collect_list(entry)).alias(out))
+
+
 def wide_pivot(
     summary: DataFrame, entity: str, column: str, values: list[str], fields: dict[str, Column]
 ) -> DataFrame:
     """One row per person with columns ``{value}_{field}`` for the declared values.
 
-    The summary holds one row per person and value, so nothing is left to add up:
-    a person's rows become a map from value to fields, and each output column is
-    read out of it. A pivot would test every row against every output column.
-
-    The narrow summary moves to its person before it is widened: the wide rows
-    are never shuffled, and the result lies partitioned for the final join.
+    Each output column is read out of the person's map. A pivot would test every row
+    against every output column. The wide rows are never shuffled.
 
     People without a declared value give no row. Dropping all-null rows
     afterwards would test hundreds of columns at once, and seen through as many
     renamed columns that is more than the optimiser's inference can take.
     """
-    declared = summary.where(F.col(column).isin(values)).repartition(entity)
-    entry = F.struct(column, F.struct(*[c.alias(n) for n, c in fields.items()]).alias("fields"))
-    maps = declared.groupBy(entity).agg(F.map_from_entries(F.collect_list(entry)).alias("by_value"))
-    by_value = maps.select(entity, *[F.col("by_value")[v].alias(v) for v in values])
+    maps = value_maps(summary, entity, column, values, fields)
+    by_value = maps.select(entity, *[F.col(BY_VALUE)[v].alias(v) for v in values])
     wide = by_value.select(entity, *[f"`{v}`.*" for v in values])
     return wide.toDF(entity, *[f"{v}_{n}" for v in values for n in fields])
 
 
-def pivot_categories(
-    summary: DataFrame, cfg: CohortConfig, category: str, values: list[str]
-) -> DataFrame:
-    """Category summary as one row per person that has a declared category."""
+def spread_values(df: DataFrame, values: list[str], column: str = BY_VALUE) -> DataFrame:
+    """Put the columns of ``wide_pivot`` in the place of a column of ``value_maps``, numbers
+    zero-filled as after a left join with them.
+
+    Hundreds of columns that only the last step makes pass through no join, sort or
+    staged table on the way.
+    """
+    fields = df.schema[column].dataType.valueType.fields
+    spread = {
+        f"{v}_{f.name}": (F.col(f"`{column}`")[v][f.name], isinstance(f.dataType, T.NumericType))
+        for v in values
+        for f in fields
+    }
+    read = [
+        (F.coalesce(c, F.lit(0).cast("long")) if number else c).alias(name)
+        for name, (c, number) in spread.items()
+    ]
+    at = df.columns.index(column)
+    names = [F.col(f"`{c}`") for c in df.columns]
+    return df.select(*names[:at], *read, *names[at + 1 :])
+
+
+def _category_fields(cfg: CohortConfig, category: str) -> dict[str, Column]:
     fields = {
         "binary": F.col(f"{category}_binary").cast("long"),
         "earliest_date": F.col(f"{category}_date_earliest"),
@@ -321,7 +356,21 @@ def pivot_categories(
     }
     for n in cfg.lookback_weeks:
         fields[f"last_{n}_weeks"] = F.col(f"{category}_in_last_{n}_weeks").cast("long")
-    return wide_pivot(summary, cfg.entity, category, values, fields)
+    return fields
+
+
+def pivot_categories(
+    summary: DataFrame, cfg: CohortConfig, category: str, values: list[str]
+) -> DataFrame:
+    """Category summary as one row per person that has a declared category."""
+    return wide_pivot(summary, cfg.entity, category, values, _category_fields(cfg, category))
+
+
+def map_categories(
+    summary: DataFrame, cfg: CohortConfig, category: str, values: list[str]
+) -> DataFrame:
+    """As ``pivot_categories``, with a person's categories in one column for ``spread_values``."""
+    return value_maps(summary, cfg.entity, category, values, _category_fields(cfg, category))
 
 
 def pivot_sites(

@@ -29,10 +29,12 @@ from cohortal.operators.summary import (
     SPAN,
     category_summary,
     group_summary,
+    map_categories,
     pivot_categories,
     pivot_sites,
     spans_around,
     spans_on_side,
+    spread_values,
     summarise_sites,
 )
 from cohortal.plans import cohort, codes, features
@@ -124,14 +126,24 @@ def past_categories(ready: Prepared, cfg: CohortConfig) -> list[str]:
     return discover_values(found, [column])[column]
 
 
-def category_features(ready: Prepared, cfg: CohortConfig, categories: list[str]) -> DataFrame:
+def _category_summary(ready: Prepared, cfg: CohortConfig, categories: list[str]) -> DataFrame:
     reference = codes.current_reference(ready.sources.code_reference)
     column = features.CATEGORY
     wanted = reference.where(F.col(column).isin(categories)).select("alt_code", column)
     spans = lookup_join(spans_on_side(ready.spans, cfg, "before"), wanted, "code", "alt_code")
     known = spans.where(F.col(column).isNotNull())
-    summary = category_summary(known, cfg, column, **SPAN)
-    return pivot_categories(summary, cfg, column, categories)
+    return category_summary(known, cfg, column, **SPAN)
+
+
+def category_features(ready: Prepared, cfg: CohortConfig, categories: list[str]) -> DataFrame:
+    summary = _category_summary(ready, cfg, categories)
+    return pivot_categories(summary, cfg, features.CATEGORY, categories)
+
+
+def category_maps(ready: Prepared, cfg: CohortConfig, categories: list[str]) -> DataFrame:
+    """As ``category_features``, in one column that ``spread_values`` turns into theirs."""
+    summary = _category_summary(ready, cfg, categories)
+    return map_categories(summary, cfg, features.CATEGORY, categories)
 
 
 def site_outcomes(ready: Prepared, cfg: CohortConfig) -> DataFrame:
@@ -141,6 +153,15 @@ def site_outcomes(ready: Prepared, cfg: CohortConfig) -> DataFrame:
 
 
 def wide_person(
+    ready: Prepared, cfg: CohortConfig, *, categories: list[str], **choices
+) -> DataFrame:
+    """Every person with all features and cancer labels, nobody excluded."""
+    return spread_values(
+        compact_person(ready, cfg, categories=categories, **choices), categories
+    )
+
+
+def compact_person(
     ready: Prepared,
     cfg: CohortConfig,
     *,
@@ -149,12 +170,13 @@ def wide_person(
     values: dict[str, list[str]] | None = None,
     tie_break: list[str | Column] | None = None,
 ) -> DataFrame:
-    """Every person with all features and cancer labels, nobody excluded."""
+    """``wide_person`` before its categories become columns: for callers that stage, filter
+    or join it first, and spread the categories last."""
     s = ready.sources
     person = cohort.person_features(
         s.person,
         condition_outcome(ready, cfg, fixed.CANCER),
-        category_features(ready, cfg, categories),
+        category_maps(ready, cfg, categories),
         prior_condition(ready, cfg, fixed.CANCER),
         cfg,
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cohortal import fixed
 from cohortal.operators.exclude import exclude
+from cohortal.operators.summary import spread_values
 from cohortal.plans import build, cohort, exclusions
 from cohortal.sources.tables import stage_bucketed
 from registry import adapters as a
@@ -25,19 +26,18 @@ def _ready_people(spark, sf):
 @query("assemble_wide", "SELECT * FROM person_wide")
 def assemble_wide(spark, sf):
     ready = _ready(spark, sf)
-    return codes_as_text(
-        cohort.person_features(
-            ready.sources.person,
-            build.condition_outcome(ready, a.CFG, fixed.CANCER),
-            build.category_features(ready, a.CFG, a.CATEGORIES),
-            build.prior_condition(ready, a.CFG, fixed.CANCER),
-            a.CFG,
-        )
+    compact = cohort.person_features(
+        ready.sources.person,
+        build.condition_outcome(ready, a.CFG, fixed.CANCER),
+        build.category_maps(ready, a.CFG, a.CATEGORIES),
+        build.prior_condition(ready, a.CFG, fixed.CANCER),
+        a.CFG,
     )
+    return codes_as_text(spread_values(compact, a.CATEGORIES))
 
 
-def _expanded(ready):
-    return build.wide_person(
+def _expanded(ready, make=build.wide_person):
+    return make(
         ready,
         a.CFG,
         categories=a.CATEGORIES,
@@ -47,6 +47,11 @@ def _expanded(ready):
     )
 
 
+def _staged(ready):
+    """The expanded table with its categories still in one column."""
+    return stage_bucketed(_expanded(ready, build.compact_person), "expanded", ID)
+
+
 @query("assemble_expanded", "SELECT * FROM person_expanded")
 def assemble_expanded(spark, sf):
     return codes_as_text(_expanded(_ready(spark, sf)))
@@ -76,18 +81,20 @@ def exclusion_reasons_alt(spark, sf):
 def cancer_cohort(spark, sf):
     """Whole rows of the people who stay, with the labels raised by deaths."""
     ready = _ready(spark, sf)
-    wide = stage_bucketed(_expanded(ready), "expanded", ID)
-    listed = build.cancer_exclusions(ready, wide, a.CFG)
-    return codes_as_text(cohort.cancer_cohort(wide, listed, a.CFG))
+    people = _staged(ready)
+    listed = build.cancer_exclusions(ready, people, a.CFG)
+    kept = cohort.cancer_cohort(people, listed, a.CFG)
+    return codes_as_text(spread_values(kept, a.CATEGORIES))
 
 
 @query("stroke_cohort", "SELECT * FROM stroke_kept")
 def stroke_cohort(spark, sf):
     """Whole rows of the people who stay."""
     ready = _ready(spark, sf)
-    wide = stage_bucketed(_expanded(ready), "expanded", ID)
-    listed = build.stroke_exclusions(ready, wide, a.CFG)
-    return codes_as_text(cohort.stroke_cohort(wide, listed, a.CFG))
+    people = _staged(ready)
+    listed = build.stroke_exclusions(ready, people, a.CFG)
+    kept = cohort.stroke_cohort(people, listed, a.CFG)
+    return codes_as_text(spread_values(kept, a.CATEGORIES))
 
 
 @query(

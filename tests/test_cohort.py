@@ -8,8 +8,9 @@ import pytest
 from conftest import by_key, same_rows
 from pyspark.sql import functions as F
 
-from cohortal import fixed
+from cohortal import CohortConfig, fixed
 from cohortal.functions.weeks import flag
+from cohortal.operators import summary
 from cohortal.operators.exclude import exclude, exclude_by_rules, exclusion_reasons
 from cohortal.operators.joins import left_join_all
 from cohortal.plans import build, cohort
@@ -239,3 +240,46 @@ def test_missing_contract_columns_are_named(cfg, mixed):
 def test_flag_is_zero_for_null(spark):
     got = spark.createDataFrame([(None,), (True,), (False,)], "x boolean").select(flag(F.col("x")))
     assert [r[0] for r in got.collect()] == [0, 1, 0]
+
+
+def _events(spark):
+    rows = [
+        ("1", "A01", "2021-01-01", "x"), ("1", "A02", "2020-01-01", "x"), ("1", "B01", "2021-08-20", "y z"),
+        ("2", "B01", "2015-01-01", "y z"), ("3", "C01", "2021-01-01", "undeclared"),
+    ]
+    made = spark.createDataFrame(rows, "patient_pseudo_id string, diagnosis string, day string, category string")
+    return made.select("patient_pseudo_id", "diagnosis", F.col("day").cast("date").alias("date"), "category")
+
+
+def test_spread_maps_equal_the_joined_pivot(spark):
+    cfg = CohortConfig()
+    values = ["x", "y z", "never"]
+    found = summary.category_summary(_events(spark), cfg, "category")
+    people = spark.createDataFrame([("1", 5), ("2", None), ("3", 7), (None, 8)], "patient_pseudo_id string, n int")
+    wide = summary.pivot_categories(found, cfg, "category", values)
+    added = [c for c in wide.columns if c != "patient_pseudo_id"]
+    long_way = people.join(wide, "patient_pseudo_id", "left").withColumn("last", F.lit("end"))
+    maps = summary.map_categories(found, cfg, "category", values)
+    joined = left_join_all(people, [maps], "patient_pseudo_id").withColumn("last", F.lit("end"))
+    same_rows(summary.spread_values(joined, values), long_way.na.fill(0, subset=added))
+
+
+def test_joins_do_not_copy_the_columns_of_joins_before(spark):
+    people = spark.range(20).selectExpr("cast(id as string) as k", "id as n")
+    tables = [
+        people.selectExpr("k", *[f"n + {i} as t{j}_c{i}" for i in range(30)]).where(f"n % {j + 2} = 0")
+        for j in range(3)
+    ]
+    ours = left_join_all(people, tables, "k")
+    long_way = people
+    for t in tables:
+        long_way = long_way.join(t, "k", "left")
+    same_rows(ours, long_way)
+    root = ours._jdf.queryExecution().optimizedPlan()
+    widths, nodes = [], [root]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "Join":
+            widths.append(node.output().size())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert len(widths) == 3 and max(widths) <= 2 + 2 * len(tables)
