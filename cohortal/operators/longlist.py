@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortal.functions.text import strip_code
+from cohortal.operators.joins import shuffle_partitions
+from cohortal.sources.tables import input_bytes
 
 
 def code_longlist(
@@ -48,6 +50,25 @@ def keep_one(df: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*[F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns])
 
 
+# Input files of a distinct task, and the most tasks.
+DISTINCT_BYTES = 8 * 1024 * 1024
+DISTINCT_TASKS = 10_000
+
+
+def spread_distinct(df: DataFrame) -> DataFrame:
+    """``distinct`` of rows that seldom repeat, with as many tasks as the input has use for.
+
+    A plain distinct first hashes all rows of a map task, which rarely drops any, and gets
+    at most as many reduce tasks as the session names shuffle partitions, however large the
+    input is. Here rows are dealt first, by all their columns, to as many tasks as that, or
+    more if the bytes of the input files ask for them; what a task hashes stays the same as
+    the input grows.
+    """
+    by_bytes = min(DISTINCT_TASKS, input_bytes(df) // DISTINCT_BYTES)
+    tasks = max(shuffle_partitions(df), by_bytes)
+    return df.repartition(tasks, *[F.col(f"`{c}`") for c in df.columns]).distinct()
+
+
 def _column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

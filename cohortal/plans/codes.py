@@ -20,6 +20,7 @@ from cohortal.operators.longlist import (
     codes_in_text,
     fill_from_fallback,
     keep_one,
+    spread_distinct,
     top_row,
     union_all,
 )
@@ -137,7 +138,7 @@ def union_sources(
     emergency = emergency.where(F.col("diagnosis") != NOT_A_DIAGNOSIS)
     events = [t.select(cfg.entity, *EVENT) for t in (inpatient, outpatient, emergency)]
     known = union_all(events).where(F.col(cfg.entity).isNotNull())
-    return known.distinct() if once_a_day else known
+    return spread_distinct(known) if once_a_day else known
 
 
 def current_reference(reference: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from conftest import plan_of, same_rows
 from pyspark.sql import functions as F
 
 from cohortal import fixed
-from cohortal.operators import joins
+from cohortal.operators import joins, longlist
 from cohortal.operators.longlist import top_row
 from cohortal.operators.lookback import lookback_counts
 from cohortal.operators.sites import site_tag
@@ -22,7 +22,7 @@ from cohortal.operators.summary import (
     spans_on_side,
 )
 from cohortal.plans import codes, features
-from cohortal.sources.tables import read_table, stage, write_table
+from cohortal.sources.tables import input_bytes, read_table, stage, write_table
 from registry import adapters
 
 ID = "patient_pseudo_id"
@@ -259,3 +259,30 @@ def test_staging_uses_the_folder_the_session_names(spark, events):
     folder = spark.conf.get("spark.checkpoint.dir")
     files = stage(events, "events").inputFiles()
     assert files and all(folder in f for f in files)
+
+
+def test_distinct_tasks_follow_the_input(spark, tmp_path, monkeypatch):
+    rows = spark.range(600).selectExpr("cast(id % 50 as string) as a", "nullif(id % 7, 0) as b")
+    path = f"{tmp_path}/a folder/rows.parquet"
+    write_table(rows, path)
+    read = read_table(spark, path)
+    assert input_bytes(read.unionAll(read)) == input_bytes(read) > 0
+    monkeypatch.setattr(longlist, "DISTINCT_BYTES", max(1, input_bytes(read) // 40))
+    got = longlist.spread_distinct(read)
+    same_rows(got, rows.distinct())
+    assert got.rdd.getNumPartitions() >= 40 > joins.shuffle_partitions(read)
+    # Rows without files take the partitions of the session.
+    assert longlist.spread_distinct(rows).rdd.getNumPartitions() == joins.shuffle_partitions(rows)
+    monkeypatch.setattr(longlist, "DISTINCT_TASKS", 20)
+    assert longlist.spread_distinct(read).rdd.getNumPartitions() == 20
+
+
+def test_union_hashes_no_rows_before_they_are_dealt(spark):
+    made = spark.createDataFrame(
+        [("1", "2020-01-01", "A", "s"), ("1", "2020-01-01", "A", "s"), (None, "2020-01-01", "A", "s")],
+        f"{ID} string, date string, diagnosis string, source string",
+    )
+    got = codes.union_sources(made, made, made, CFG, once_a_day=True)
+    assert [tuple(r) for r in got.collect()] == [("1", "2020-01-01", "A", "s")]
+    below = plan_of(got).split("Exchange ")[-1]
+    assert "HashAggregate" not in below
