@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -41,34 +42,40 @@ class WordTokenizer:
 
     Its splitting rule always cuts before a single space between two visible characters.
     Parts between such spaces are therefore tokenized one by one, and a part seen before
-    is looked up. Special tokens written in a text are ordinary text, or with ``added`` the
+    is looked up, as the bytes of its ids. Special tokens written in a text are ordinary text, or with ``added`` the
     tokens that the tokenizer's own call makes of them.
 
-    With a file of the same vocabulary as ranks, new parts in Latin script are encoded by
-    the faster reader of such files, which gives the same ids.
+    With a file of the same vocabulary as ranks, texts in Latin script, and new parts of
+    other texts that are, go to the faster reader of such files, which gives the same ids.
+    It takes less time for a whole text than the look-ups do where many words are rare, and
+    no memory.
     """
 
     def __init__(self, path: str, ranks_path: str | None = None, added: bool = False):
         self.tokenizer = _tokenizer(path, added)
         tokens = self.tokenizer.get_added_tokens_decoder().values() if added else ()
         self.added = [t.content for t in tokens]
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
         self.latin = _rank_encoding(ranks_path) if ranks_path else None
 
-    def _encode(self, parts: list[str]) -> list[tuple[int, ...]]:
+    def _encode(self, parts: list[str]) -> list[bytes]:
         if self.latin:
             quick = self.latin.encode_ordinary
             whole = self.tokenizer.encode
             return [
-                tuple(quick(p) if LATIN.fullmatch(p) else whole(p, add_special_tokens=False).ids)
+                _packed(
+                    quick(p) if LATIN.fullmatch(p) else whole(p, add_special_tokens=False).ids
+                )
                 for p in parts
             ]
         found = self.tokenizer.encode_batch(parts, add_special_tokens=False)
-        return [tuple(e.ids) for e in found]
+        return [_packed(e.ids) for e in found]
 
     def ids(self, text: str) -> np.ndarray:
         if any(token in text for token in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if self.latin and LATIN.fullmatch(text):
+            return self._whole(text)
         parts = text.split(" ")
         first, rest = parts[0], parts[1:]
         if (not first and rest) or first[-1:].isspace():
@@ -82,11 +89,15 @@ class WordTokenizer:
                 known.clear()
                 new = list(set(rest))
             known.update(zip(new, self._encode([" " + p for p in new])))
-        parts = chain(self._encode([first])[0], chain.from_iterable(map(known.__getitem__, rest)))
-        return np.fromiter(parts, dtype="<u4")
+        found = b"".join(chain(self._encode([first]), map(known.__getitem__, rest)))
+        return np.frombuffer(found, dtype="<u4")
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self._encode([text])[0], dtype="<u4")
+        return np.frombuffer(self._encode([text])[0], dtype="<u4")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
