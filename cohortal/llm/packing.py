@@ -18,7 +18,6 @@ import base64
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -100,9 +99,9 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str, added: bool):
-    """The tokenizer itself stays in a worker; the words it has met do not."""
+    """Read by each task, as is the one below: Spark keeps workers for later stages, whose
+    memory a tokenizer (60 MB of both) must not take."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -110,7 +109,6 @@ def _tokenizer(path: str, added: bool):
     return tokenizer
 
 
-@lru_cache(maxsize=1)
 def _rank_encoding(path: str):
     import public_tokenizers
     import tiktoken

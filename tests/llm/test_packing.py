@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import gc
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -115,3 +117,12 @@ def test_known_words_are_kept_as_bytes_of_their_ids(plain):
         ids = words.ids(t)
         assert ids.dtype == "<u4" and ids.tolist() == encoded(plain, t)[:-1].tolist()
     assert words.known and all(isinstance(k, bytes) for k in words.known.values())
+
+
+def test_no_tokenizer_stays_in_a_worker():
+    """Spark keeps workers for later stages; 60 MB of each would be missing there."""
+    words = packing.WordTokenizer(JSON, RANKS, added=True)
+    left = weakref.ref(words.latin)
+    del words
+    gc.collect()
+    assert left() is None
