@@ -9,8 +9,8 @@
 3. Buckets whose classes are not yet in one component are settled exactly: two sets with
    the wanted similarity must share one of the rarest quarter of their shingles, so only
    classes of different components that share one are compared. Where these are common
-   shingles, as of a passage that very many documents have, a class is compared with one
-   class for each set of common shingles, which is enough to find all components.
+   shingles, as of a passage that very many documents have, whole sets of common shingles
+   are compared, by what tells them from the most central set of their group.
 
 At a similarity of exactly 0.75, a pair shares no bucket with probability 3e-7.
 
@@ -38,6 +38,8 @@ from cohortal.sources.tables import stage
 
 # 100 * intersection >= 75 * union
 NUMERATOR, DENOMINATOR = 75, 100
+# The same: BOTH * intersection >= NUMERATOR * (sum of the sizes)
+BOTH = NUMERATOR + DENOMINATOR
 # Pairs of larger sets whose estimate is below this are not compared in full. At a true
 # similarity of 0.75 the estimate falls there with a probability under 1e-9.
 ESTIMATE_FROM = 0.5
@@ -150,16 +152,16 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _prefix(rows: DataFrame, counts: DataFrame, owner: str, size: str = "n") -> DataFrame:
-    """The rarest of each set's ``size`` listed shingles, all but ceil(0.75 n) - 1 of them.
+def _prefix(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """The rarest of each class's ``n`` shingles, all but ceil(0.75 n) - 1 of them.
 
-    Two sets of which the listed shingles alone make up the wanted similarity share one of
-    these. Ties of the counts go by the hash, the same way for all.
+    Two classes of the wanted similarity share one of these. Ties of the counts go by the
+    hash, the same way for all.
     """
-    order = Window.partitionBy(owner).orderBy("sets", "shingle")
+    order = Window.partitionBy("node").orderBy("sets", "shingle")
     least = F.floor((F.col("n") * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR)
     ranked = rows.join(counts, "shingle").withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= F.col(size) - least + 1)
+    return ranked.where(F.col("rank") <= F.col("n") - least + 1)
 
 
 def _sharing(rare: DataFrame, owner: str, wanted: Column) -> DataFrame:
@@ -175,15 +177,79 @@ def _sharing(rare: DataFrame, owner: str, wanted: Column) -> DataFrame:
     )
 
 
+def _alike(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of common shingles, among them enough similar ones to join all
+    that can be joined.
+
+    Sets that share a shingle of their prefixes lie in one group. In a large group of near
+    copies all do, and nearly all of them share more than the prefixes tell. So each set is
+    described by what tells it from the group's most central one, its ``away``: two sets
+    differ by as much as their ``away`` do, and each has only the edits of its copy. With
+    ``excess`` = (BOTH * (size of away - size) + 2 * NUMERATOR * n), two sets are similar if
+    2 * BOTH * (number of shared ``away``) >= the sum of both ``excess``.
+
+    Where that sum is at most 0, both sets are similar to that of the least ``excess`` too;
+    they are paired with it alone. All other pairs share one of the rarest of their ``away``.
+    """
+    least = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
+    prefix = F.slice("common", F.lit(1), (F.col("size") - least + 1).cast("int"))
+    prefixes = stage(sets.select("set", F.explode(prefix).alias("shingle")), "prefixes")
+    firsts = prefixes.groupBy("shingle").agg(F.min("set").alias("first"))
+    groups = components(prefixes.join(firsts, "shingle").select("first", "set"))
+    groups = groups.withColumnsRenamed({"node": "set", "root": "group"})
+    grouped = stage(sets.join(groups, "set"), "grouped")
+    # The most central set differs least from all classes of its group, in sum.
+    in_group = grouped.groupBy("group").agg(F.sum("classes").alias("in_group"))
+    nearness = 2 * F.col("weight") - F.col("in_group") * F.col("size")
+    # Written, so that a large group's sets are combined before they move.
+    counted = stage(grouped.join(stage(in_group, "in_group"), "group"), "counted")
+    centres = (
+        counted.groupBy("group")
+        .agg(F.max_by("common", F.struct(nearness, "set")).alias("centre"))
+    )
+    grouped = grouped.join(stage(centres, "centres"), "group")
+    away = F.concat(F.array_except("common", "centre"), F.array_except("centre", "common"))
+    grouped = grouped.withColumn("away", away).withColumn("size_away", F.size("away"))
+    excess = (F.col("size_away") - F.col("size")) * BOTH + 2 * F.col("n") * NUMERATOR
+    kept = ["set", "group", "n", "loose", "least.label", "size_away", "away"]
+    grouped = stage(grouped.select(*kept, excess.alias("excess")), "away")
+
+    lowest = grouped.groupBy("group").agg(F.min(F.struct("excess", "set")).alias("low"))
+    grouped = grouped.join(stage(lowest, "lowest_excess"), "group")
+    star = grouped.where("set <> low.set AND excess + low.excess <= 0")
+    rows = stage(
+        grouped.select(
+            "set", "group", "n", "loose", "label", "excess", "size_away",
+            F.col("low.excess").alias("low"), F.explode("away").alias("shingle"),
+        ),
+        "away_rows",
+    )
+    counts = rows.groupBy("group", "shingle").agg(F.count("*").alias("sets"))
+    order = Window.partitionBy("set").orderBy("sets", "shingle")
+    ranked = rows.join(counts, ["group", "shingle"])
+    ranked = ranked.withColumn("left", F.col("size_away") - F.row_number().over(order) + 1)
+    rare = stage(ranked.where(F.col("left") * 2 * BOTH >= F.col("excess") + F.col("low")), "rare_away")
+    both = F.col("x.excess") + F.col("y.excess")
+    wanted = (
+        (F.col("x.group") == F.col("y.group"))
+        & (F.col("x.loose") | F.col("y.loose") | (F.col("x.label") != F.col("y.label")))
+        & (both > 0)
+        & (F.least("x.left", "y.left") * 2 * BOTH >= both)
+    )
+    return _sharing(rare, "set", wanted).union(
+        star.select(F.col("low.set").alias("a"), F.col("set").alias("b"))
+    )
+
+
 def _settling_pairs(open_classes: DataFrame) -> DataFrame:
     """Pairs of classes that join all components which the given classes can join.
 
     A pair that is similar enough shares a shingle of both prefixes. If it shares one that
     at most ``COMMON`` classes have, it is found there. If not, all it shares is common
-    shingles. Then only the two sets of common shingles and the two sizes decide, and of
-    all classes with the same set of common shingles the smallest is linked with whatever
-    any of them is linked with in this way. So each class is compared with the smallest
-    class of its own set and of the sets similar to it, not with all that share a passage.
+    shingles. Then only the two sets of common shingles and the two sizes decide: classes of
+    one size and one set of common shingles are linked with the same others in this way. So
+    such sets are compared, see ``_alike``, and a class meets the smallest class of its own
+    set or of a similar one, not all that share a passage.
     """
     schema = "node bigint, label bigint, n bigint, shingle bigint"
     rows = stage(
@@ -191,67 +257,65 @@ def _settling_pairs(open_classes: DataFrame) -> DataFrame:
     )
     mixed = (F.min("label") != F.max("label")).alias("mixed")
     counts = stage(rows.groupBy("shingle").agg(F.count("*").alias("sets"), mixed), "counts")
-    rare = stage(_prefix(rows, counts, "node"), "rare")
+    rare = stage(_prefix(rows, counts), "rare")
     different = F.col("x.label") != F.col("y.label")
     few = rare.where((F.col("sets") <= COMMON) & F.col("mixed"))
     found = _sharing(few.select("shingle", "node", "label", "n"), "node", different)
 
-    common = counts.where(F.col("sets") > COMMON).select("shingle")
+    common = counts.where(F.col("sets") > COMMON).select("shingle", "sets")
     mostly_common = rare.where(F.col("sets") > COMMON).select("node").distinct()
+    listed = F.sort_array(F.collect_list(F.struct("sets", "shingle")))
     members = (
         rows.join(mostly_common, "node", "left_semi")
         .join(common, "shingle")
         .groupBy("node", "label", "n")
-        .agg(F.sort_array(F.collect_list("shingle")).alias("common"))
+        .agg(
+            F.transform(listed, lambda s: s["shingle"]).alias("common"),
+            F.sum("sets").alias("weight"),
+        )
     )
     members = stage(members, "members")
+    # Classes of one set are similar to each other if their common shingles are enough.
+    size = F.size("common")
+    close = size * BOTH >= 2 * F.col("n") * NUMERATOR
     sets = stage(
-        members.groupBy("common")
-        .agg(F.min(F.struct("n", "node", "label")).alias("least"), mixed)
-        .select(F.monotonically_increasing_id().alias("set"), "common", "least", "mixed"),
-        "sets",
-    )
-    listed = stage(members.join(sets, "common").select("set", "node", "label", "n"), "listed")
-    shared = stage(
-        sets.select(
-            "set", "mixed", "least.n", "least.label",
-            F.size("common").alias("size"), F.explode("common").alias("shingle"),
+        members.where(size * DENOMINATOR >= F.col("n") * NUMERATOR)
+        .groupBy("common", "n", "weight")
+        .agg(F.min(F.struct("node", "label")).alias("least"), F.count("*").alias("classes"), mixed)
+        .select(
+            F.monotonically_increasing_id().alias("set"), "common", "n", "weight", "least",
+            "classes", size.alias("size"), close.alias("close"), (F.col("mixed") & ~close).alias("loose"),
         ),
-        "shared",
+        "sets",
     )
-    in_sets = stage(shared.groupBy("shingle").agg(F.count("*").alias("sets")), "in_sets")
-    # From the first shingle that two sets share on, enough must be left to make the
-    # smallest classes of both similar. Sets of one component need no comparison.
-    left = F.least(F.col("x.size") - F.col("x.rank"), F.col("y.size") - F.col("y.rank")) + 1
-    enough = left * (NUMERATOR + DENOMINATOR) >= (F.col("x.n") + F.col("y.n")) * NUMERATOR
-    useful = F.col("x.mixed") | F.col("y.mixed") | different
-    set_prefix = stage(_prefix(shared, in_sets, "set", "size"), "set_prefix")
-    alike = _sharing(set_prefix, "set", useful & enough)
-    # Of two such sets, the members of the one whose smallest class is larger meet the
-    # smallest class of the other. That class is also linked with those members of its own
-    # set that are linked with the other set, as no class of the other set is smaller.
-    smallest = sets.select("set", "least", F.col("least.n").alias("size_least"), "common")
-    x, y = smallest.alias("x"), smallest.alias("y")
-    swapped = F.col("x.size_least") < F.col("y.size_least")
-    towards = (
-        alike.join(x, F.col("a") == F.col("x.set"))
-        .join(y, F.col("b") == F.col("y.set"))
-        .select(
-            F.when(swapped, F.col("b")).otherwise(F.col("a")).alias("set"),
-            F.when(swapped, F.col("x.least")).otherwise(F.col("y.least")).alias("least"),
-            F.size(F.array_intersect("x.common", "y.common")).alias("k"),
-        )
-        .union(sets.select("set", "least", F.size("common")))
-    )
     # What two sets share, counted once for each pair of them, decides: a pair that is not
     # similar by its common shingles alone shares a rare one, and was found by that.
-    by_common = F.col("k") * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("least.n")) * NUMERATOR
+    x, y = sets.alias("x"), sets.alias("y")
+    shared = F.size(F.array_intersect("x.common", "y.common"))
+    alike = stage(
+        _alike(sets)
+        .join(x, F.col("a") == F.col("x.set"))
+        .join(y, F.col("b") == F.col("y.set"))
+        .where(shared * BOTH >= (F.col("x.n") + F.col("y.n")) * NUMERATOR)
+        .select("a", "b", F.col("x.least").alias("least_a"), F.col("y.least").alias("least_b")),
+        "alike",
+    )
+    # The smallest classes of both sets are linked. The others of a set are linked with
+    # their smallest class or, if they are not similar to each other, with one other set's.
+    met = alike.select(F.col("a").alias("set"), F.col("least_b").alias("to")).union(
+        alike.select("b", "least_a")
+    )
+    met = met.groupBy("set").agg(F.min("to").alias("to"))
+    towards = sets.join(met, "set", "left").select(
+        "common", "n", F.when(F.col("close"), F.col("least")).otherwise(F.col("to")).alias("to")
+    )
     to_least = (
-        listed.join(towards, "set")
-        .where(by_common)
-        .where((F.col("node") != F.col("least.node")) & (F.col("label") != F.col("least.label")))
+        members.join(towards, ["common", "n"])
+        .select(F.struct("node", "label").alias("from"), "to")
+        .union(alike.select("least_a", "least_b"))
+        .where((F.col("from.node") != F.col("to.node")) & (F.col("from.label") != F.col("to.label")))
         .select(
-            F.least("node", "least.node").alias("a"), F.greatest("node", "least.node").alias("b")
+            F.least("from.node", "to.node").alias("a"), F.greatest("from.node", "to.node").alias("b")
         )
     )
     return found.union(to_least).distinct()

@@ -77,6 +77,29 @@ def test_chains_and_shared_passages(spark, monkeypatch, common):
     check(spark, list(enumerate(texts)))
 
 
+def test_large_group_of_copies_with_edits_gives_few_pairs(spark, monkeypatch):
+    """Copies of one text whose edits put most of them just below the wanted similarity."""
+    rng = random.Random(5)
+    text = words(rng, 150)
+    texts = []
+    for i in range(300):
+        copy = list(text)
+        for _ in range(rng.choice([1, 3, 4, 4, 5])):
+            copy[rng.randrange(len(copy))] = "new%d" % rng.randrange(10**6)
+        texts.append((i, " ".join(copy)))
+    compared = []
+    sharing = near_dedup._sharing
+
+    def counted(*args):
+        out = sharing(*args)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "_sharing", counted)
+    check(spark, texts)
+    assert sum(compared) < 10 * len(texts)
+
+
 def test_edge_rows(spark):
     single = [(i, t) for i, t in EDGES if i not in (8, None)]
     check(spark, single)
