@@ -34,6 +34,16 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that shuffles both sides, however small Spark takes them to be.
+
+    Spark sizes a table by its files and the types of the columns read. It takes exploded rows
+    for as many as before, a text for 20 bytes and a list for one value, so it may broadcast
+    through the driver what is very much larger than its bound.
+    """
+    return df.hint("merge")
+
+
 def shielded(
     docs: DataFrame, needed: list[str], run: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:

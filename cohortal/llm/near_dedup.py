@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortal.llm import shingles as S
-from cohortal.llm.columns import shielded
+from cohortal.llm.columns import shielded, shuffled
 from cohortal.llm.components import components
 from cohortal.llm.workers import per_task
 from cohortal.sources.tables import stage
@@ -126,7 +126,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         )
     )
     likely = stage(sized.mapInArrow(per_task(_likely), "a bigint, b bigint"), "likely")
-    texts = classes.select("node", "text")
+    texts = shuffled(classes.select("node", "text"))
     full = (
         likely.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
         .join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
@@ -160,7 +160,7 @@ def _prefix(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("node").orderBy("sets", "shingle")
     least = F.floor((F.col("n") * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR)
-    ranked = rows.join(counts, "shingle").withColumn("rank", F.row_number().over(order))
+    ranked = shuffled(rows).join(counts, "shingle").withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= F.col("n") - least + 1)
 
 
@@ -171,7 +171,8 @@ def _sharing(rare: DataFrame, owner: str, wanted: Column) -> DataFrame:
     once = F.col(f"x.{owner}") < F.col(f"y.{owner}")
     on = (F.col("x.shingle") == F.col("y.shingle")) & once & similar_size & wanted
     return (
-        x.join(y, on)
+        shuffled(x)
+        .join(y, on)
         .select(F.col(f"x.{owner}").alias("a"), F.col(f"y.{owner}").alias("b"))
         .distinct()
     )
@@ -195,7 +196,7 @@ def _alike(sets: DataFrame) -> DataFrame:
     prefix = F.slice("common", F.lit(1), (F.col("size") - least + 1).cast("int"))
     prefixes = stage(sets.select("set", F.explode(prefix).alias("shingle")), "prefixes")
     firsts = prefixes.groupBy("shingle").agg(F.min("set").alias("first"))
-    groups = components(prefixes.join(firsts, "shingle").select("first", "set"))
+    groups = components(shuffled(prefixes).join(firsts, "shingle").select("first", "set"))
     groups = groups.withColumnsRenamed({"node": "set", "root": "group"})
     grouped = stage(sets.join(groups, "set"), "grouped")
     # The most central set differs least from all classes of its group, in sum.
@@ -226,7 +227,7 @@ def _alike(sets: DataFrame) -> DataFrame:
     )
     counts = rows.groupBy("group", "shingle").agg(F.count("*").alias("sets"))
     order = Window.partitionBy("set").orderBy("sets", "shingle")
-    ranked = rows.join(counts, ["group", "shingle"])
+    ranked = shuffled(rows).join(counts, ["group", "shingle"])
     ranked = ranked.withColumn("left", F.col("size_away") - F.row_number().over(order) + 1)
     rare = stage(ranked.where(F.col("left") * 2 * BOTH >= F.col("excess") + F.col("low")), "rare_away")
     both = F.col("x.excess") + F.col("y.excess")
@@ -290,7 +291,7 @@ def _settling_pairs(open_classes: DataFrame) -> DataFrame:
     )
     # What two sets share, counted once for each pair of them, decides: a pair that is not
     # similar by its common shingles alone shares a rare one, and was found by that.
-    x, y = sets.alias("x"), sets.alias("y")
+    x, y = shuffled(sets).alias("x"), shuffled(sets).alias("y")
     shared = F.size(F.array_intersect("x.common", "y.common"))
     alike = stage(
         _alike(sets)
@@ -350,12 +351,12 @@ def near_components(docs: DataFrame) -> DataFrame:
         .where("size > 1")
         .drop("size")
     )
-    members = stage(bands.join(firsts, "bucket"), "members")
+    members = stage(shuffled(bands).join(firsts, "bucket"), "members")
 
     wanted = members.select("node").distinct().join(classes, "node")
     same_text = F.expr(TEXT_KEY) == F.col("text_key")
     fetched = stage(
-        docs.withColumnRenamed("doc_id", "_id")
+        shuffled(docs.withColumnRenamed("doc_id", "_id"))
         .join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & same_text)
         .select("node", "n_shingles", "sketch", "text")
         .dropDuplicates(["node"]),

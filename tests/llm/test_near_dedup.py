@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from texts import EDGES, SCHEMA, SF, documents, table
 
 from cohortal.llm import near_dedup, registry
@@ -134,3 +135,22 @@ def test_components_of_paths_and_stars(spark):
     found = {r["node"]: r["root"] for r in components(df).collect()}
     expected = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
     assert found == expected
+
+
+def test_exploded_rows_and_texts_are_never_broadcast(spark, monkeypatch):
+    """Spark takes an explode's rows for as many as before, and a text for 20 bytes: in a
+    small table both look fit to be broadcast, and may hold many times as much."""
+    plans = []
+    stage = near_dedup.stage
+
+    def noted(df, name):
+        plans.append((name, plan_of(df)))
+        return stage(df, name)
+
+    monkeypatch.setattr(near_dedup, "stage", noted)
+    words = [f"w{i}" for i in range(40)]
+    texts = [(i, " ".join([*words, f"end{i % 4}"])) for i in range(8)]
+    assert len({r["component_id"] for r in near_dedup.near_components(documents(spark, texts)).collect()}) == 1
+    first = dict(reversed(plans))
+    for name in ("members", "links", "rare", "rare_away"):
+        assert "SortMergeJoin" in first[name] and "BroadcastHashJoin" not in first[name]
